@@ -141,8 +141,8 @@ def kfold_fit(vectors: DataFrame, key: str, recipe: Recipe, k: int = 5, seed: in
             )
         if with_importance:
             importances.append(importance_table(model, names).withColumn(FOLD, F.lit(fold)))
-    union = lambda dfs: reduce(lambda a, b: a.unionByName(b), dfs)
-    return FoldResult(union(scored), union(importances) if importances else None)
+    stacked = materialise(reduce(DataFrame.unionByName, scored), "scores")
+    return FoldResult(stacked, reduce(DataFrame.unionByName, importances) if importances else None)
 
 
 def holdout_fit(vectors: DataFrame, key: str, recipe: Recipe, share: float = 0.9, seed: int = 0) -> DataFrame:
@@ -156,7 +156,7 @@ def holdout_fit(vectors: DataFrame, key: str, recipe: Recipe, share: float = 0.9
         score(model, rows).select(key, LABEL, F.lit(part).alias("part"), "score")
         for part, rows in parts.items()
     ]
-    return reduce(lambda a, b: a.unionByName(b), scored)
+    return reduce(DataFrame.unionByName, scored)
 
 
 def importance_table(model, names: Sequence[str]) -> DataFrame:

@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featloom.functions.values import flag
-
-AGGREGATES: dict[str, Callable[[Column], Column]] = {
-    "min": F.min,
-    "max": F.max,
-    "mean": F.avg,
-    "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
-    "var": F.var_samp,
-    "std": F.stddev_samp,
-    "count": F.count,
-    "nunique": F.count_distinct,
+from featloom.workspace import materialise
+
+# SQL text keeps plan building cheap for specs with hundreds of outputs.
+AGGREGATES: dict[str, str] = {
+    "min": "min({c})",
+    "max": "max({c})",
+    "mean": "avg({c})",
+    "sum": "coalesce(sum({c}), 0)",
+    "var": "var_samp({c})",
+    "std": "stddev_samp({c})",
+    "count": "count({c})",
+    "nunique": "count(DISTINCT {c})",
 }
+# A hash aggregate with more functions than this outgrows the size the JVM compiles.
+AGGREGATES_PER_PASS = 50
 MERGEABLE = {"min", "max", "mean", "sum", "var", "std", "count"}
 NULL_CATEGORY = "NaN"
 
@@ -30,6 +35,23 @@ def category_name(value: Any) -> str:
     return NULL_CATEGORY if value is None else re.sub(r"\W+", "_", str(value))
 
 
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def grouped(df: DataFrame, keys: Sequence[str], aggregates: Sequence[tuple[str, str]]) -> DataFrame:
+    """``groupBy(keys).agg`` of (name, SQL) pairs, in passes over disjoint columns if there are many.
+
+    Each pass reads only its own columns, and the results are joined on the
+    keys they are already hashed by. The keys must not be null.
+    """
+    passes = []
+    for i in range(0, max(len(aggregates), 1), AGGREGATES_PER_PASS):
+        chunk = [F.expr(f"{sql} AS {quoted(name)}") for name, sql in aggregates[i : i + AGGREGATES_PER_PASS]]
+        passes.append(df.groupBy(*keys).agg(*chunk) if chunk else df.select(*keys).distinct())
+    return reduce(lambda a, b: a.join(b, list(keys)), passes)
+
+
 def indicator(column: str, value: Any) -> Column:
     return flag(F.col(column).eqNullSafe(F.lit(value)))
 
@@ -60,67 +82,37 @@ class RollupSpec:
 
 def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
     """One row per non-null key."""
-    exprs = [
-        AGGREGATES[f](F.col(c)).alias(spec.name(c, f))
-        for c, functions in spec.measures.items()
-        for f in functions
+    shares = spec.share_columns()
+    source = df.where(F.col(spec.key).isNotNull())
+    if shares:
+        source = source.withColumns({f"share|{n}": c for n, c in shares.items()})
+    aggregates = [
+        (spec.name(c, f), AGGREGATES[f].format(c=quoted(c))) for c, functions in spec.measures.items() for f in functions
     ]
-    exprs += [F.avg(c).alias(spec.name(n, "mean")) for n, c in spec.share_columns().items()]
+    aggregates += [(spec.name(n, "mean"), f"avg({quoted(f'share|{n}')})") for n in shares]
     if spec.count_as:
-        exprs.append(F.count("*").alias(spec.count_as))
-    return df.where(F.col(spec.key).isNotNull()).groupBy(spec.key).agg(*exprs)
-
-
-def _partials(columns: Iterable[str]) -> list[Column]:
-    out = [F.count(F.lit(1)).alias("rows")]
-    for c in columns:
-        v = F.col(c)
-        out += [
-            F.min(v).alias(f"{c}|min"),
-            F.max(v).alias(f"{c}|max"),
-            F.count(v).alias(f"{c}|count"),
-            F.sum(v).alias(f"{c}|sum"),
-            (F.var_pop(v) * F.count(v)).alias(f"{c}|square"),
-        ]
-    return out
+        aggregates.append((spec.count_as, "count(*)"))
+    return grouped(source, [spec.key], aggregates)
 
 
-def _part(label: str, name: str) -> Column:
-    return F.col(f"`{label}_{name}`")
-
-
-def _added(parts: list[Column], zero: float | int) -> Column:
-    total = F.coalesce(parts[0], F.lit(zero))
-    for p in parts[1:]:
-        total = total + F.coalesce(p, F.lit(zero))
-    return total
-
-
-def _merged(column: str, function: str, labels: list[str]) -> Column:
-    """One statistic over the union of the labelled parts of a key."""
-    counts = [_part(s, f"{column}|count") for s in labels]
-    sums = [_part(s, f"{column}|sum") for s in labels]
-    n = _added(counts, 0)
-    rows = _added([_part(s, "rows") for s in labels], 0)
-    if function in ("min", "max"):
-        ends = [_part(s, f"{column}|{function}") for s in labels]
-        pick = F.least if function == "min" else F.greatest
-        return pick(*ends) if len(ends) > 1 else ends[0]
-    if function == "count":
-        return F.when(rows > 0, n)
-    if function == "sum":
-        return F.when(rows > 0, _added(sums, 0))
-    mean = F.try_divide(_added(sums, 0).cast("double"), n)
-    if function == "mean":
-        return mean
-    # Squares about the merged mean: within-part squares plus the shift of each part mean.
-    squares = [_part(s, f"{column}|square") for s in labels]
-    shifted = [
-        q + k * (F.try_divide(s.cast("double"), k) - mean) * (F.try_divide(s.cast("double"), k) - mean)
-        for q, k, s in zip(squares, counts, sums)
-    ]
-    variance = F.when(n > 1, F.try_divide(_added(shifted, 0.0), n - 1))
-    return F.sqrt(variance) if function == "std" else variance
+def _partials(columns: Iterable[str]) -> list[tuple[str, str]]:
+    functions = {"min": "min", "max": "max", "count": "count", "sum": "sum", "spread": "var_pop"}
+    return [(f"{name}|{c}", f"{f}({quoted(c)})") for c in columns for name, f in functions.items()]
+
+
+def _final(c: str, function: str, squares: str) -> str:
+    """SQL of one statistic from the partial columns of a measure."""
+    n, total = f"`count|{c}`", f"`sum|{c}`"
+    variance = f"CASE WHEN {n} > 1 THEN try_divide({squares}, {n} - 1) END"
+    return {
+        "min": f"`min|{c}`",
+        "max": f"`max|{c}`",
+        "count": n,
+        "sum": f"coalesce({total}, 0)",
+        "mean": f"try_divide(CAST({total} AS DOUBLE), {n})",
+        "var": variance,
+        "std": f"sqrt({variance})",
+    }[function]
 
 
 def rollup_with_subsets(
@@ -134,49 +126,63 @@ def rollup_with_subsets(
 
     ``subsets`` maps a column prefix to a status value; a key without such rows
     gets null there. The detail rows are read and shuffled once: partial
-    statistics per (key, status) are combined on the far smaller second level.
+    statistics per (key, status) are written, and both the subsets and the
+    overall values are taken from that far smaller table.
     """
     unmergeable = {f for fs in spec.measures.values() for f in fs} - MERGEABLE
     if unmergeable:
         raise ValueError(f"not mergeable across statuses: {sorted(unmergeable)}")
-    shares = spec.share_columns()
-    labels = [f"s{i}" for i in range(len(subsets))]
-    part = F.lit("rest")
-    for label, value in zip(labels, subsets.values()):
+    key, measures, shares = spec.key, spec.measures, spec.share_columns()
+    labels = dict(enumerate(subsets.values()))
+    part = F.lit(-1)
+    for label, value in labels.items():
         part = F.when(F.col(status).eqNullSafe(F.lit(value)), label).otherwise(part)
-    flagged = [c.cast("double").alias(f"share|{n}") for n, c in shares.items()]
-    share_sums = [F.sum(f"share|{n}").alias(f"share|{n}") for n in shares]
-    pivoted = (
-        df.where(F.col(spec.key).isNotNull())
-        .select(spec.key, *spec.measures, *flagged, part.alias("__part"))
-        .groupBy(spec.key)
-        .pivot("__part", [*labels, "rest"])
-        .agg(*_partials(spec.measures), *share_sums)
+    flagged = [c.alias(f"share|{n}") for n, c in shares.items()]
+    detail = df.where(F.col(key).isNotNull()).select(key, *measures, *flagged, part.alias("part"))
+    share_sums = [(f"share|{n}", f"sum(`share|{n}`)") for n in shares]
+    partials = [("rows", "count(*)"), *share_sums, *_partials(measures)]
+    parts = materialise(grouped(detail, [key, "part"], partials), "parts")
+
+    # Squares about the merged mean: within the part, plus the shift of the part mean.
+    spread = [c for c, fs in measures.items() if {"var", "std"} & set(fs)]
+    over_key = f"OVER (PARTITION BY {quoted(key)})"
+    centred = parts.select(
+        "*",
+        *[
+            F.expr(
+                f"try_divide(CAST(sum(`sum|{c}`) {over_key} AS DOUBLE), sum(`count|{c}`) {over_key}) AS `centre|{c}`"
+            )
+            for c in spread
+        ],
     )
-
-    def block(prefix: str, members: list[str], with_shares: bool, count_as: str | None) -> list[Column]:
-        rows = _added([_part(s, "rows") for s in members], 0)
-        out = [
-            _merged(c, f, members).alias(spec.name(c, f, prefix))
-            for c, functions in spec.measures.items()
+    sums = [("rows", "sum(rows)"), *share_sums]
+    for c in measures:
+        sums += [(f"{f}|{c}", f"{f}(`{f}|{c}`)") for f in ("min", "max")]
+        sums += [(f"{f}|{c}", f"sum(`{f}|{c}`)") for f in ("count", "sum")]
+    for c in spread:
+        shift = f"try_divide(CAST(`sum|{c}` AS DOUBLE), `count|{c}`) - `centre|{c}`"
+        sums.append((f"squares|{c}", f"sum(`count|{c}` * (`spread|{c}` + pow({shift}, 2)))"))
+    merged = grouped(centred, [key], sums)
+
+    def block(prefix: str, squares: str, with_shares: bool, count_as: str | None) -> list[Column]:
+        stats = [
+            (spec.name(c, f, prefix), _final(c, f, squares.format(c=c)))
+            for c, functions in measures.items()
             for f in functions
         ]
         if with_shares:
-            out += [
-                F.try_divide(
-                    F.when(rows > 0, _added([_part(s, f"share|{n}") for s in members], 0.0)), rows
-                ).alias(spec.name(n, "mean", prefix))
-                for n in shares
-            ]
+            stats += [(spec.name(n, "mean", prefix), f"try_divide(`share|{n}`, rows)") for n in shares]
         if count_as:
-            out.append(F.when(rows > 0, rows).alias(count_as))
-        return out
+            stats.append((count_as, "rows"))
+        return [F.expr(f"{sql} AS {quoted(n)}") for n, sql in stats]
 
-    columns = block(spec.prefix, [*labels, "rest"], True, spec.count_as)
-    for label, prefix in zip(labels, subsets):
+    out = merged.select(key, *block(spec.prefix, "`squares|{c}`", True, spec.count_as))
+    for label, prefix in enumerate(subsets):
         count_as = f"{prefix}{spec.count_as}" if spec.count_as else None
-        columns += block(prefix, [label], subset_shares, count_as)
-    return pivoted.select(spec.key, *columns)
+        rows = parts.where(F.col("part") == label)
+        own = block(prefix, "`spread|{c}` * `count|{c}`", subset_shares, count_as)
+        out = out.join(rows.select(key, *own), key, "left")
+    return out
 
 
 def rollup_subsets_by_join(
@@ -210,6 +216,45 @@ def first_and_last(
     )
 
 
+def status_history(
+    df: DataFrame,
+    key: str,
+    period: str,
+    status: str,
+    closed: Any,
+    counted: Sequence[Any],
+    non_zero: Sequence[Any],
+    tie_break: Sequence[str] = (),
+) -> DataFrame:
+    """Life of a loan from its periodic status, in one group-by.
+
+    ``period`` is a negative offset, so the smallest value is the oldest row.
+    Status counts are null for a status that never occurs.
+    """
+    place = F.struct(period, *tie_break)
+    known = F.when(F.col(status).isNotNull(), place)
+    at_status = lambda s: F.col(status) == F.lit(s)
+    facts = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(
+            F.min_by(status, known).alias("First_status"),
+            F.max_by(status, known).alias("Last_status"),
+            F.abs(F.min(period)).alias("Month"),
+            F.abs(F.min(F.when(at_status(closed), F.col(period)))).alias("When_closed"),
+            *[F.nullif(F.count_if(at_status(s)), F.lit(0)).alias(f"DPD_{s}_cnt") for s in counted],
+        )
+    )
+    late = sum((F.coalesce(F.col(f"DPD_{s}_cnt"), F.lit(0)) for s in non_zero), F.lit(0))
+    return facts.withColumns(
+        {
+            "Month_closed_to_end": F.col("Month") - F.col("When_closed"),
+            **{f"DPD_{s}_per_Month": F.try_divide(f"DPD_{s}_cnt", "Month") for s in counted},
+            "Non_zero_DPD_cnt": late,
+        }
+    )
+
+
 def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """min, max, mean, null count per column in long form, from one pass."""
     wide = df.agg(
