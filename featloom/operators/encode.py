@@ -110,12 +110,15 @@ class TargetMean:
         if not fold:
             return cls(tuple(columns), sums.select("column", "value", (F.col("s") / F.col("n")).alias("mean")))
         parts = materialise(sums, "target-mean")
-        whole = parts.groupBy("column", "value").agg(F.sum("s").alias("S"), F.sum("n").alias("N"))
+        whole = parts.groupBy("column", "value").agg(F.sum("s").alias("all_s"), F.sum("n").alias("all_n"))
         others = parts.join(whole, ["column", "value"]).select(
-            "column", "value", "__fold", F.try_divide(F.col("S") - F.col("s"), F.col("N") - F.col("n")).alias("mean")
+            "column",
+            "value",
+            "__fold",
+            F.try_divide(F.col("all_s") - F.col("s"), F.col("all_n") - F.col("n")).alias("mean"),
         )
         scoring = whole.select(
-            "column", "value", F.lit(None).cast("int").alias("__fold"), (F.col("S") / F.col("N")).alias("mean")
+            "column", "value", F.lit(None).cast("int").alias("__fold"), (F.col("all_s") / F.col("all_n")).alias("mean")
         )
         return cls(tuple(columns), others.unionByName(scoring), fold)
 

@@ -45,7 +45,7 @@ DOCS_SQL = """docs AS (
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
 
 
-LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def gapped_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,6 +54,7 @@ def gapped_lines(spark: SparkSession, folder: str) -> DataFrame:
     gap = lambda c, m, r: F.when(F.pmod(F.col("l_partkey"), F.lit(m)) != r, F.col(c)).alias(c)
     return lines.select(
         *LINE_ID,
+        "l_shipdate",
         "l_returnflag",
         "l_linestatus",
         gap("l_quantity", 3, 0),
