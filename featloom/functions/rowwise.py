@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+COUNT, MEAN, POWER = "__row_count", "__row_mean", "__row_power_"
+
 
 def _plus(terms: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, terms)
@@ -44,34 +46,45 @@ def row_mean(cols: list[str], skip_nulls: bool = True) -> Column:
     return mean if skip_nulls else _all_present(cols, mean)
 
 
-def _power_about_mean(cols: list[str], power: int) -> Column:
-    mean = row_mean(cols)
-    deviations = [_double(c) - mean for c in cols]
-    return _plus([_filled(reduce(lambda a, b: a * b, [d] * power)) for d in deviations])
+def _with_powers(df: DataFrame, cols: list[str], powers: tuple[int, ...]) -> DataFrame:
+    """Adds the value count, the row mean and the sums of powers about it.
+
+    The mean is a column of its own before it is used, so it is computed once
+    per row instead of once per term.
+    """
+    staged = df.withColumns({COUNT: _present(cols), MEAN: row_mean(cols)})
+    deviations = [_double(c) - F.col(MEAN) for c in cols]
+    sums = {f"{POWER}{p}": _plus([_filled(reduce(lambda a, b: a * b, [d] * p)) for d in deviations]) for p in powers}
+    return staged.withColumns(sums)
+
+
+def _finish(df: DataFrame, out: str, value: Column) -> DataFrame:
+    temporary = [c for c in df.columns if c in (COUNT, MEAN) or c.startswith(POWER)]
+    return df.withColumn(out, value).drop(*temporary)
 
 
-def row_std(cols: list[str], skip_nulls: bool = True) -> Column:
+def with_row_std(df: DataFrame, cols: list[str], out: str, skip_nulls: bool = True) -> DataFrame:
     """Sample deviation; fewer than two values give null."""
-    n = _present(cols)
-    std = F.when(n > 1, F.sqrt(F.try_divide(_power_about_mean(cols, 2), n - 1)))
-    return std if skip_nulls else _all_present(cols, std)
+    n = F.col(COUNT)
+    std = F.when(n > 1, F.sqrt(F.try_divide(F.col(f"{POWER}2"), n - 1)))
+    value = std if skip_nulls else F.when(n == len(cols), std)
+    return _finish(_with_powers(df, cols, (2,)), out, value)
 
 
-def row_kurtosis_sample(cols: list[str]) -> Column:
+def with_row_kurtosis_sample(df: DataFrame, cols: list[str], out: str) -> DataFrame:
     """Bias-corrected excess kurtosis; null below four values, 0 when all are equal."""
-    n = _present(cols).cast("double")
-    m2 = _power_about_mean(cols, 2)
-    m4 = _power_about_mean(cols, 4)
-    scale = n * (n + 1) * (n - 1)
+    n = F.col(COUNT).cast("double")
+    m2, m4 = F.col(f"{POWER}2"), F.col(f"{POWER}4")
     denominator = (n - 2) * (n - 3)
-    corrected = F.try_divide(scale * m4, denominator * m2 * m2) - F.try_divide(
+    corrected = F.try_divide(n * (n + 1) * (n - 1) * m4, denominator * m2 * m2) - F.try_divide(
         3 * (n - 1) * (n - 1), denominator
     )
-    return F.when(n >= 4, F.when(m2 == 0, F.lit(0.0)).otherwise(corrected))
+    value = F.when(n >= 4, F.when(m2 == 0, F.lit(0.0)).otherwise(corrected))
+    return _finish(_with_powers(df, cols, (2, 4)), out, value)
 
 
-def row_kurtosis_moment(cols: list[str]) -> Column:
+def with_row_kurtosis_moment(df: DataFrame, cols: list[str], out: str) -> DataFrame:
     """Fourth-moment ratio; null when any value is missing or all are equal."""
-    m2 = _power_about_mean(cols, 2)
-    m4 = _power_about_mean(cols, 4)
-    return _all_present(cols, F.try_divide(len(cols) * m4, m2 * m2))
+    m2, m4 = F.col(f"{POWER}2"), F.col(f"{POWER}4")
+    value = F.when(F.col(COUNT) == len(cols), F.try_divide(len(cols) * m4, m2 * m2))
+    return _finish(_with_powers(df, cols, (2, 4)), out, value)

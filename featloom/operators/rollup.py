@@ -225,15 +225,17 @@ def status_history(
     counted: Sequence[Any],
     non_zero: Sequence[Any],
     tie_break: Sequence[str] = (),
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """Life of a loan from its periodic status, in one group-by.
 
     ``period`` is a negative offset, so the smallest value is the oldest row.
-    Status counts are null for a status that never occurs.
+    Status counts are null for a status that never occurs. ``also`` adds further
+    aggregates to the same group-by.
     """
     place = F.struct(period, *tie_break)
     known = F.when(F.col(status).isNotNull(), place)
-    at_status = lambda s: F.col(status) == F.lit(s)
+    at_status = lambda s: F.coalesce(F.col(status) == F.lit(s), F.lit(False))
     facts = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
@@ -243,6 +245,7 @@ def status_history(
             F.abs(F.min(period)).alias("Month"),
             F.abs(F.min(F.when(at_status(closed), F.col(period)))).alias("When_closed"),
             *[F.nullif(F.count_if(at_status(s)), F.lit(0)).alias(f"DPD_{s}_cnt") for s in counted],
+            *also,
         )
     )
     late = sum((F.coalesce(F.col(f"DPD_{s}_cnt"), F.lit(0)) for s in non_zero), F.lit(0))

@@ -336,12 +336,15 @@ def row_null_count(spark, folder):
   {round_sql('CASE WHEN len(a) = width THEN list_stddev_samp(a) END')} AS strict_std FROM r""",
 )
 def row_mean_std(spark, folder):
-    out = gapped_lines(spark, folder).select(
+    lines = gapped_lines(spark, folder)
+    lines = rw.with_row_std(lines, ROW_COLUMNS, "std")
+    lines = rw.with_row_std(lines, ROW_COLUMNS, "strict_std", skip_nulls=False)
+    out = lines.select(
         *LINE_ID,
         rw.row_mean(ROW_COLUMNS).alias("mean"),
-        rw.row_std(ROW_COLUMNS).alias("std"),
+        "std",
         rw.row_mean(ROW_COLUMNS, skip_nulls=False).alias("strict_mean"),
-        rw.row_std(ROW_COLUMNS, skip_nulls=False).alias("strict_std"),
+        "strict_std",
     )
     return rounded(out, shift=OFF_TIE)
 
@@ -365,7 +368,8 @@ def row_sum(spark, folder):
     f"""{ROW_SQL} SELECT {ID_SQL}, CASE WHEN len(a) >= 4 THEN round(coalesce(list_kurtosis(a), 0), 4) END AS kurtosis FROM r""",
 )
 def row_kurtosis_sample(spark, folder):
-    return rounded(gapped_lines(spark, folder).select(*LINE_ID, rw.row_kurtosis_sample(ROW_COLUMNS).alias("kurtosis")))
+    lines = rw.with_row_kurtosis_sample(gapped_lines(spark, folder), ROW_COLUMNS, "kurtosis")
+    return rounded(lines.select(*LINE_ID, "kurtosis"))
 
 
 @query(
@@ -375,7 +379,8 @@ p AS (SELECT *, list_sum(list_transform(a, lambda x: pow(x - mu, 2))) AS m2, lis
 SELECT {ID_SQL}, CASE WHEN len(a) = width THEN round(width * m4 / nullif(m2 * m2, 0), 4) END AS kurtosis FROM p""",
 )
 def row_kurtosis_moment(spark, folder):
-    return rounded(gapped_lines(spark, folder).select(*LINE_ID, rw.row_kurtosis_moment(ROW_COLUMNS).alias("kurtosis")))
+    lines = rw.with_row_kurtosis_moment(gapped_lines(spark, folder), ROW_COLUMNS, "kurtosis")
+    return rounded(lines.select(*LINE_ID, "kurtosis"))
 
 
 @query(
@@ -413,5 +418,5 @@ def impute_mean_train(spark, folder):
 SELECT {ID_SQL}, {round_sql('coalesce(s, avg(s) OVER ())')} AS std FROM r""",
 )
 def impute_derived_std(spark, folder):
-    std = rw.row_std(["l_quantity", "l_discount", "l_tax"]).alias("std")
-    return rounded(fill_derived_with_mean(gapped_lines(spark, folder).select(*LINE_ID, std), "std"), shift=OFF_TIE)
+    lines = rw.with_row_std(gapped_lines(spark, folder), ["l_quantity", "l_discount", "l_tax"], "std")
+    return rounded(fill_derived_with_mean(lines.select(*LINE_ID, "std"), "std"), shift=OFF_TIE)
