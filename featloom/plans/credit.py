@@ -295,29 +295,33 @@ def summary_previous(prev: DataFrame) -> DataFrame:
     return summary(df.withColumn("APP_CREDIT_PERC", ratio("AMT_APPLICATION", "AMT_CREDIT")), KEY, "PRE_", [PREVIOUS])
 
 
-def summary_application(train: DataFrame, test: DataFrame) -> DataFrame:
-    df = materialise(with_codes(stack_labelled(train, test)), "application")
-    documents, live = document_flags(df), columns_matching(df, "FLAG_", "FLAG_DOC|_FLAG_")
+def summary_formulas(df: DataFrame, documents: Sequence[str], live: Sequence[str]) -> DataFrame:
+    """Row features of the joined table; the missing count covers the rollups as well."""
     df = with_missing_count(df, "na", LABEL)
     df = apply_null_rules(df, [r for r in spec.APPLICATION_NULLS if r.column == "DAYS_EMPLOYED"])
     df = with_formulas(df, spec.SUMMARY_APPLICATION_FEATURES)
-    df = rw.with_row_kurtosis_moment(df, documents, "DOC_IND_KURT")
-    df = df.withColumn("LIVE_IND_SUM", rw.row_sum(live, skip_nulls=False))
+    df = rw.with_row_kurtosis_moment(df, list(documents), "DOC_IND_KURT")
+    df = df.withColumn("LIVE_IND_SUM", rw.row_sum(list(live), skip_nulls=False))
     df = group_median_lookup(df, "ORGANIZATION_TYPE", "AMT_INCOME_TOTAL", "NEW_INC_BY_ORG")
     df = df.withColumn("NEW_EXT_SOURCES_MEAN", rw.row_mean(spec.SOURCES, skip_nulls=False))
     df = rw.with_row_std(df, spec.SOURCES, "NEW_SCORES_STD", skip_nulls=False)
     return non_finite_to_null(df)
 
 
+def summary_application(train: DataFrame, test: DataFrame, rollups: Sequence[DataFrame] = ()) -> DataFrame:
+    base = with_codes(stack_labelled(train, test))
+    documents, live = document_flags(base), columns_matching(base, "FLAG_", "FLAG_DOC")
+    wide = materialise(star_join(base, rollups, KEY), "summary")
+    return summary_formulas(wide, documents, live)
+
+
 def summary_features(tables: dict[str, DataFrame]) -> DataFrame:
-    return star_join(
-        summary_application(tables["application_train"], tables["application_test"]),
-        [
-            summary_bureau(tables["bureau"], tables["bureau_balance"]),
-            summary(tables["credit_card_balance"], KEY, "CARD_", [PREVIOUS]),
-            summary(with_payment_features(tables["installments_payments"], null_as_zero=False), KEY, "PAY_", [PREVIOUS]),
-            summary(tables["POS_CASH_balance"], KEY, "POS_", [PREVIOUS]),
-            summary_previous(tables["previous_application"]),
-        ],
-        KEY,
-    )
+    payments = with_payment_features(tables["installments_payments"], null_as_zero=False)
+    rollups = [
+        summary_bureau(tables["bureau"], tables["bureau_balance"]),
+        summary(tables["credit_card_balance"], KEY, "CARD_", [PREVIOUS]),
+        summary(payments, KEY, "PAY_", [PREVIOUS]),
+        summary(tables["POS_CASH_balance"], KEY, "POS_", [PREVIOUS]),
+        summary_previous(tables["previous_application"]),
+    ]
+    return summary_application(tables["application_train"], tables["application_test"], rollups)
