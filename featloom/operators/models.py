@@ -163,6 +163,7 @@ def importance_table(model, names: Sequence[str]) -> DataFrame:
     """(feature, gain, split) from the trees' nodes; features never split on get 0.
 
     The saved model is a table of nodes, so both importances are one group-by.
+    A node's gain is per row, so it is weighted with the rows that reach it.
     """
     spark = SparkSession.active()
     path = scratch_path(spark, "model")
@@ -171,7 +172,7 @@ def importance_table(model, names: Sequence[str]) -> DataFrame:
     used = (
         nodes.where(F.col("split.featureIndex") >= 0)
         .groupBy(F.col("split.featureIndex").alias("slot"))
-        .agg(F.sum("gain").alias("gain"), F.count("*").alias("split"))
+        .agg(F.sum(F.col("gain") * F.col("rawCount")).alias("gain"), F.count("*").alias("split"))
     )
     slots = spark.createDataFrame(list(enumerate(names)), "slot int, feature string")
     return slots.join(F.broadcast(used), "slot", "left").select(
