@@ -243,14 +243,15 @@ def rank_gauss(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
     All columns share one range sort in long form. Positions are symmetric
     about the middle and ``erfinv`` is odd, so the scores already have mean 0.
-    Ties are ordered by ``key``.
+    Ties are ordered by ``key``; a null stays null and is not ranked.
     """
-    ranked = exact_rank(to_long(df, [key], columns), ["value", key], ["feature"])
-    rows = ranked.groupBy("feature").agg(F.count("*").alias("rows"))
+    long = to_long(df, [key], columns).where(F.col("value").isNotNull())
+    ranked = exact_rank(long, ["value", key], ["feature"])
+    rows = ranked.groupBy("feature").agg((F.max("rank") + 1).alias("rows"))
     n = F.col("rows").cast("double")
     score = erfinv((2 * F.col("rank") - (n - 1)) / n)
-    scored = ranked.join(rows, "feature").select(key, "feature", score.alias("score"))
+    scored = lookup_join(ranked, rows, ["feature"]).select(key, "feature", score.alias("score"))
     wide = scored.groupBy(key).agg(
         *[F.max(F.when(F.col("feature") == c, F.col("score"))).alias(c) for c in columns]
     )
-    return df.drop(*columns).join(wide, key).select(*df.columns)
+    return df.drop(*columns).join(wide, key, "left").select(*df.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from featloom.functions.hashing import hash32, hash_text
 from featloom.operators.rank import exact_rank
+from featloom.workspace import lookup_join
 
 TRAIN, VALID, TEST = "train", "valid", "test"
 
@@ -30,12 +31,11 @@ def stratified_kfold(df: DataFrame, key: str, label: str, k: int, seed: int = 0,
 def stratified_holdout(
     df: DataFrame, key: str, label: str, share: float = 0.9, seed: int = 0, out: str = "in_train"
 ) -> DataFrame:
-    """1 for the first ``ceil(share * class size)`` rows of each class in hash order."""
+    """1 for the first ``ceil(share * class size)`` rows of each class in hash order; labels are not null."""
     ranked = _hash_rank(df, key, label, seed)
     sizes = df.groupBy(label).agg(F.count("*").alias("__size"))
-    same_class = ranked.join(sizes.withColumnRenamed(label, "__class"), F.col(label).eqNullSafe(F.col("__class")))
     chosen = F.col("__rank") < F.ceil(F.col("__size") * share)
-    return same_class.withColumn(out, chosen.cast("int")).drop("__rank", "__size", "__class")
+    return lookup_join(ranked, sizes, [label]).withColumn(out, chosen.cast("int")).drop("__rank", "__size")
 
 
 def out_of_fold(stacked: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark.ml.classification import (
@@ -22,6 +23,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,31 +120,53 @@ class FoldResult:
     importances: DataFrame | None
 
 
-def kfold_fit(vectors: DataFrame, key: str, recipe: Recipe, k: int = 5, seed: int = 0,
-              with_importance: bool = True, folds: DataFrame | None = None) -> FoldResult:
+def in_parallel(spark: SparkSession, task: Callable[[Any], Any], items: Sequence[Any], width: int) -> list[Any]:
+    """Run independent driver-side fits at the same time, so that one fit's small stages do not idle the cluster."""
+    if width <= 1 or len(items) <= 1:
+        return [task(i) for i in items]
+    with ThreadPool(min(width, len(items))) as pool:
+        return pool.map(inheritable_thread_target(spark)(task), items)
+
+
+def kfold_fit(
+    vectors: DataFrame,
+    key: str,
+    recipe: Recipe,
+    k: int = 5,
+    seed: int = 0,
+    with_importance: bool = True,
+    folds: DataFrame | None = None,
+    parallel: int = 4,
+) -> FoldResult:
     """Fit on k-1 folds, score the held-out fold, the rows trained on and the unlabelled rows.
 
     ``folds`` may bring a (key, fold) assignment such as a stratified one.
+    ``parallel`` folds are fitted at a time, each holding its own copy of the
+    training rows in the learner's cache.
     """
     labelled = vectors.where(F.col(LABEL).isNotNull())
-    labelled = labelled.join(folds, key) if folds is not None else kfold(labelled, key, k, seed, FOLD)
+    if folds is not None:
+        labelled = materialise(labelled.join(folds, key), "folds")
+    else:
+        labelled = kfold(labelled, key, k, seed, FOLD)
     unlabelled = vectors.where(F.col(LABEL).isNull())
     names = vector_names(vectors)
-    scored, importances = [], []
-    for fold in range(k):
+
+    def fit_fold(fold: int) -> tuple[list[DataFrame], DataFrame | None]:
         train = labelled.where(F.col(FOLD) != fold).drop(FOLD)
         held_out = labelled.where(F.col(FOLD) == fold).drop(FOLD)
         model = recipe.fit(train, held_out)
-        for part, rows in ((TRAIN, train), (VALID, held_out), (TEST, unlabelled)):
-            scored.append(
-                score(model, rows).select(
-                    key, LABEL, F.lit(fold).alias(FOLD), F.lit(part).alias("part"), "score"
-                )
-            )
-        if with_importance:
-            importances.append(importance_table(model, names).withColumn(FOLD, F.lit(fold)))
-    stacked = materialise(reduce(DataFrame.unionByName, scored), "scores")
-    return FoldResult(stacked, reduce(DataFrame.unionByName, importances) if importances else None)
+        scored = [
+            score(model, rows).select(key, LABEL, F.lit(fold).alias(FOLD), F.lit(part).alias("part"), "score")
+            for part, rows in ((TRAIN, train), (VALID, held_out), (TEST, unlabelled))
+        ]
+        if not with_importance:
+            return scored, None
+        return scored, importance_table(model, names, vectors.sparkSession).withColumn(FOLD, F.lit(fold))
+
+    fitted = in_parallel(vectors.sparkSession, fit_fold, range(k), parallel)
+    stacked = materialise(reduce(DataFrame.unionByName, [df for scored, _ in fitted for df in scored]), "scores")
+    return FoldResult(stacked, reduce(DataFrame.unionByName, [i for _, i in fitted]) if with_importance else None)
 
 
 def holdout_fit(vectors: DataFrame, key: str, recipe: Recipe, share: float = 0.9, seed: int = 0) -> DataFrame:
@@ -159,13 +183,12 @@ def holdout_fit(vectors: DataFrame, key: str, recipe: Recipe, share: float = 0.9
     return reduce(DataFrame.unionByName, scored)
 
 
-def importance_table(model, names: Sequence[str]) -> DataFrame:
+def importance_table(model, names: Sequence[str], spark: SparkSession) -> DataFrame:
     """(feature, gain, split) from the trees' nodes; features never split on get 0.
 
     The saved model is a table of nodes, so both importances are one group-by.
     A node's gain is per row, so it is weighted with the rows that reach it.
     """
-    spark = SparkSession.active()
     path = scratch_path(spark, "model")
     model.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("nodeData.*")
@@ -197,12 +220,15 @@ def search_parameters(
     A bound pair of integers is drawn as an integer.
     """
     draw = random.Random(seed)
-    results = []
-    for _ in range(trials):
-        params = {
+    candidates = [
+        {
             name: draw.randint(low, high) if isinstance(low, int) and isinstance(high, int) else draw.uniform(low, high)
             for name, (low, high) in bounds.items()
         }
+        for _ in range(trials)
+    ]
+    results = []
+    for params in candidates:
         recipe = Recipe(learner, {**(fixed or {}), **params}, seed)
         stacked = kfold_fit(vectors, key, recipe, k, seed, with_importance=False).stacked
         area = roc_auc(out_of_fold(stacked), LABEL, "score").first()["auc"]

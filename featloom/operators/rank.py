@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featloom.functions.hashing import hash_text
-from featloom.workspace import materialise
+from featloom.workspace import lookup_join, materialise
 
 PART = "__part"
 PLACE = "__place"
@@ -48,16 +48,11 @@ def exact_rank(
     offsets = parts.select(
         *by, PART, (_before("__n", ordered) - F.col("__first")).alias("__offset")
     )
-    joined = _join_parts(placed, offsets, by)
+    # Offsets are one row per group and partition: broadcast when few, else joined by shuffle.
+    joined = lookup_join(placed, offsets, [*by, PART])
     return joined.withColumn(out, F.col(PLACE) + F.col("__offset")).drop(PLACE, PART, "__offset")
 
 
-def _join_parts(placed: DataFrame, parts: DataFrame, by: list[str]) -> DataFrame:
-    # Without groups the offsets have one row per partition, so their size is bounded
-    # by the shuffle width; with groups the optimiser decides from run-time sizes.
-    return placed.join(parts if by else F.broadcast(parts), [*by, PART])
-
-
 def running_totals(
     df: DataFrame, order_by: Sequence[str], totals: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -80,8 +75,9 @@ def running_totals(
     )
     inside = Window.partitionBy(*by, PART).orderBy(*order_by)
     running = placed.withColumns({f"__{c}_inside": _before(c, inside) for c in totals})
+    # The window has already hashed the rows by group and partition, so this join moves no row again.
     return (
-        _join_parts(running, offsets, by)
+        running.join(offsets, [*by, PART])
         .withColumns({f"{c}_before": F.col(f"__{c}_inside") + F.col(f"__{c}_offset") for c in totals})
         .drop(PART, *[f"__{c}_{k}" for c in totals for k in ("offset", "inside")])
     )

@@ -95,9 +95,21 @@ def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
     return grouped(source, [spec.key], aggregates)
 
 
-def _partials(columns: Iterable[str]) -> list[tuple[str, str]]:
-    functions = {"min": "min", "max": "max", "count": "count", "sum": "sum", "spread": "var_pop"}
-    return [(f"{name}|{c}", f"{f}({quoted(c)})") for c in columns for name, f in functions.items()]
+PARTIALS = {"min": "min", "max": "max", "count": "count", "sum": "sum", "spread": "var_pop"}
+NEEDED = {
+    "min": {"min"},
+    "max": {"max"},
+    "count": {"count"},
+    "sum": {"sum"},
+    "mean": {"count", "sum"},
+    "var": {"count", "sum", "spread"},
+    "std": {"count", "sum", "spread"},
+}
+
+
+def _partials(measures: dict[str, Sequence[str]]) -> dict[str, list[str]]:
+    """Per measure, the partial statistics its functions are made of."""
+    return {c: [p for p in PARTIALS if any(p in NEEDED[f] for f in fs)] for c, fs in measures.items()}
 
 
 def _final(c: str, function: str, squares: str) -> str:
@@ -140,7 +152,9 @@ def rollup_with_subsets(
     flagged = [c.alias(f"share|{n}") for n, c in shares.items()]
     detail = df.where(F.col(key).isNotNull()).select(key, *measures, *flagged, part.alias("part"))
     share_sums = [(f"share|{n}", f"sum(`share|{n}`)") for n in shares]
-    partials = [("rows", "count(*)"), *share_sums, *_partials(measures)]
+    needed = _partials(measures)
+    partials = [("rows", "count(*)"), *share_sums]
+    partials += [(f"{p}|{c}", f"{PARTIALS[p]}({quoted(c)})") for c, ps in needed.items() for p in ps]
     parts = materialise(grouped(detail, [key, "part"], partials), "parts")
 
     # Squares about the merged mean: within the part, plus the shift of the part mean.
@@ -156,9 +170,8 @@ def rollup_with_subsets(
         ],
     )
     sums = [("rows", "sum(rows)"), *share_sums]
-    for c in measures:
-        sums += [(f"{f}|{c}", f"{f}(`{f}|{c}`)") for f in ("min", "max")]
-        sums += [(f"{f}|{c}", f"sum(`{f}|{c}`)") for f in ("count", "sum")]
+    for c, ps in needed.items():
+        sums += [(f"{p}|{c}", f"{'sum' if p in ('count', 'sum') else p}(`{p}|{c}`)") for p in ps if p != "spread"]
     for c in spread:
         shift = f"try_divide(CAST(`sum|{c}` AS DOUBLE), `count|{c}`) - `centre|{c}`"
         sums.append((f"squares|{c}", f"sum(`count|{c}` * (`spread|{c}` + pow({shift}, 2)))"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +14,16 @@ from pyspark.sql import functions as F
 
 from featloom.operators.encode import fill_with_mean
 from featloom.operators.metrics import roc_auc
-from featloom.operators.models import FEATURES, LABEL, Recipe, importance_table, score, vector_names, vector_table
+from featloom.operators.models import (
+    FEATURES,
+    LABEL,
+    Recipe,
+    importance_table,
+    in_parallel,
+    score,
+    vector_names,
+    vector_table,
+)
 from featloom.operators.rank import permute
 from featloom.workspace import materialise
 
@@ -26,7 +36,7 @@ def _slots(vectors: DataFrame, indices: Sequence[int], key: str) -> DataFrame:
 def important_features(vectors: DataFrame, recipe: Recipe, more_than: int = 1) -> DataFrame:
     """Features the fitted trees split on more than ``more_than`` times."""
     model = recipe.fit(vectors.where(F.col(LABEL).isNotNull()))
-    return importance_table(model, vector_names(vectors)).where(F.col("split") > more_than)
+    return importance_table(model, vector_names(vectors), vectors.sparkSession).where(F.col("split") > more_than)
 
 
 @dataclass(frozen=True)
@@ -60,18 +70,20 @@ def residual_rounds(vectors: DataFrame, key: str, recipe: Recipe, stop_at: float
     return [*rounds, ResidualRound([], 0.5)]
 
 
-def importance_runs(vectors: DataFrame, key: str, recipe: Recipe, seeds: Sequence[int | str]) -> DataFrame:
+def importance_runs(
+    vectors: DataFrame, key: str, recipe: Recipe, seeds: Sequence[int | str], parallel: int = 4
+) -> DataFrame:
     """One fit per seed on permuted labels: (run, feature, gain, split, train_auc)."""
     labelled = vectors.where(F.col(LABEL).isNotNull())
     shuffled = materialise(permute(labelled, key, [LABEL], seeds), "null-labels")
-    tables = []
-    for run, seed in enumerate(seeds, start=1):
+
+    def one_run(numbered: tuple[int, int | str]) -> DataFrame:
+        run, seed = numbered
         labels = shuffled.where(F.col("seed") == str(seed)).select(key, LABEL)
-        tables.append(_run_table(labelled.drop(LABEL).join(labels, key), recipe, run))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
+        return _run_table(labelled.drop(LABEL).join(labels, key), recipe, run)
+
+    tables = in_parallel(vectors.sparkSession, one_run, list(enumerate(seeds, start=1)), parallel)
+    return reduce(DataFrame.unionByName, tables)
 
 
 def actual_importance(vectors: DataFrame, recipe: Recipe) -> DataFrame:
@@ -81,7 +93,7 @@ def actual_importance(vectors: DataFrame, recipe: Recipe) -> DataFrame:
 def _run_table(table: DataFrame, recipe: Recipe, run: int) -> DataFrame:
     model = recipe.fit(table)
     area = roc_auc(score(model, table), LABEL, "score").first()["auc"]
-    return importance_table(model, vector_names(table)).withColumns(
+    return importance_table(model, vector_names(table), table.sparkSession).withColumns(
         {"run": F.lit(run), "train_auc": F.lit(area)}
     )
 

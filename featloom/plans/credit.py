@@ -2,7 +2,9 @@
 
 Every function takes DataFrames with the column names of the CSV files and
 returns one row per applicant (or loan). Columns a table brings beyond the
-named ones are rolled up by their type.
+named ones are rolled up by their type. Cleaned detail rows are written once
+before they are rolled up: the category scan and the column passes of a wide
+rollup then read columns instead of parsing the source again.
 """
 
 from __future__ import annotations
@@ -132,7 +134,7 @@ def bureau(loans: DataFrame, balance: DataFrame) -> DataFrame:
 
 def previous_application(prev: DataFrame) -> DataFrame:
     df = with_missing_count(apply_null_rules(prev, spec.PREVIOUS_NULLS), "prev_missing")
-    df = with_formulas(df, spec.PREVIOUS_FEATURES)
+    df = materialise(with_formulas(df, spec.PREVIOUS_FEATURES), "detail")
     return rollup_with_subsets(df, rollup_everything(df, "PREV_", "PREV_COUNT"), "NAME_CONTRACT_STATUS", spec.PREVIOUS_SUBSETS)
 
 
@@ -142,13 +144,13 @@ def pos_cash(pos: DataFrame) -> DataFrame:
 
 
 def instalments(payments: DataFrame) -> DataFrame:
-    df = with_formulas(apply_null_rules(payments, spec.INSTALMENT_NULLS), spec.INSTALMENT_FEATURES)
+    df = materialise(with_formulas(apply_null_rules(payments, spec.INSTALMENT_NULLS), spec.INSTALMENT_FEATURES), "detail")
     return rollup(df, rollup_everything(df, "INS_", "INSTAL_COUNT"))
 
 
 def card_balance(card: DataFrame) -> DataFrame:
     df = with_missing_count(apply_null_rules(card, spec.CARD_NULLS), "card_missing")
-    df = with_formulas(df, spec.CARD_FEATURES)
+    df = materialise(with_formulas(df, spec.CARD_FEATURES), "detail")
     return rollup(df, rollup_everything(df, "CARD_", "CARD_COUNT"))
 
 

@@ -38,11 +38,6 @@ def test_scan_reads_only_used_columns_and_pushes_filters(lines):
     assert "l_tax" in schema and "l_extendedprice" not in schema
 
 
-def windows_without_keys(df) -> list[str]:
-    """Window nodes of the plan that have no partition key."""
-    return [line for line in plan(df).splitlines() if "Window [" in line and line.rstrip().count("], [") == 1]
-
-
 def test_grouped_ranks_and_totals_never_sort_everything_in_one_task(lines):
     ranked = exact_rank(lines.select("l_returnflag", "l_tax", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
                         ["l_tax", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ["l_returnflag"])
@@ -51,13 +46,12 @@ def test_grouped_ranks_and_totals_never_sort_everything_in_one_task(lines):
         assert "SinglePartition" not in plan(df)
 
 
-def test_ungrouped_rank_brings_only_partition_offsets_together(lines):
-    """The one-task step sits on a table aggregated to one row per partition."""
+def test_ungrouped_rank_joins_only_partition_offsets(lines):
+    """Rows meet a local table with one row per partition; nothing is sorted in one task."""
     text = plan(exact_rank(lines.select("l_tax", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
                            ["l_tax", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]))
-    below = text.split("SinglePartition")
-    assert len(below) == 2
-    assert below[1].lstrip(", \n").split("\n", 1)[1].lstrip(" :+-*()0123456789").startswith("HashAggregate(keys=[__part")
+    assert "BroadcastHashJoin" in text and "LocalTableScan [__part" in text
+    assert "SinglePartition" not in text and "Window" not in text
 
 
 def test_no_python_rows_in_numeric_operators(spark, lines):
