@@ -27,6 +27,7 @@ AGGREGATES: dict[str, str] = {
 }
 # A hash aggregate with more functions than this outgrows the size the JVM compiles.
 AGGREGATES_PER_PASS = 50
+DISTINCT_PER_PASS = 4
 MERGEABLE = {"min", "max", "mean", "sum", "var", "std", "count"}
 NULL_CATEGORY = "NaN"
 
@@ -43,13 +44,19 @@ def grouped(df: DataFrame, keys: Sequence[str], aggregates: Sequence[tuple[str,
     """``groupBy(keys).agg`` of (name, SQL) pairs, in passes over disjoint columns if there are many.
 
     Each pass reads only its own columns, and the results are joined on the
-    keys they are already hashed by. The keys must not be null.
+    keys they are already hashed by. Distinct counts get passes of their own:
+    they copy a row once per counted column, which the other functions must
+    not be dragged into. The keys must not be null.
     """
-    passes = []
-    for i in range(0, max(len(aggregates), 1), AGGREGATES_PER_PASS):
-        chunk = [F.expr(f"{sql} AS {quoted(name)}") for name, sql in aggregates[i : i + AGGREGATES_PER_PASS]]
-        passes.append(df.groupBy(*keys).agg(*chunk) if chunk else df.select(*keys).distinct())
-    return reduce(lambda a, b: a.join(b, list(keys)), passes)
+    plain = [a for a in aggregates if "DISTINCT" not in a[1]]
+    distinct = [a for a in aggregates if "DISTINCT" in a[1]]
+    chunks = [plain[i : i + AGGREGATES_PER_PASS] for i in range(0, len(plain), AGGREGATES_PER_PASS)]
+    chunks += [distinct[i : i + DISTINCT_PER_PASS] for i in range(0, len(distinct), DISTINCT_PER_PASS)]
+    if not chunks:
+        return df.select(*keys).distinct()
+    passes = [df.groupBy(*keys).agg(*[F.expr(f"{sql} AS {quoted(name)}") for name, sql in chunk]) for chunk in chunks]
+    joined = reduce(lambda a, b: a.join(b, list(keys)), passes)
+    return joined.select(*keys, *[quoted(name) for name, _ in aggregates])
 
 
 def indicator(column: str, value: Any) -> Column:

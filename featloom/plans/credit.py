@@ -285,7 +285,8 @@ def with_codes(df: DataFrame) -> DataFrame:
 
 
 def summary(df: DataFrame, key: str, prefix: str, drop: Sequence[str] = ()) -> DataFrame:
-    return summarise_all(with_codes(df), key, spec.SUMMARY_FUNCTIONS, prefix, drop)
+    coded = materialise(with_codes(df), "detail")
+    return summarise_all(coded, key, spec.SUMMARY_FUNCTIONS, prefix, drop)
 
 
 def summary_bureau(loans: DataFrame, balance: DataFrame) -> DataFrame:

@@ -68,12 +68,17 @@ def two_level_features(spark, folder):
     return star_join(base, [features], "o_custkey")
 
 
+def variance_digits(column: str) -> int:
+    """Squared prices have about ten digits before the point, so their last kept digit is in the thousands."""
+    return -3 if "price" in column and column != "price_share" else 4
+
+
 def _two_level_sql() -> str:
     out = []
     for prefix, f in (("ALL_", ""), ("OPEN_", "FILTER (WHERE o_orderstatus = 'O')"), ("DONE_", "FILTER (WHERE o_orderstatus = 'F')")):
         for c in TWO_LEVEL_COLUMNS:
             for fn in SIX:
-                digits = 0 if fn == "var" else 4
+                digits = variance_digits(c) if fn == "var" else 4
                 out.append(f"{round_sql(SQL_FUNCTIONS[fn].format(c=c, f=f), digits)} AS {prefix}{c}_{fn.upper()}")
         name = "COUNT" if prefix == "ALL_" else f"{prefix}COUNT"
         out.append(f"nullif(count(*) {f}, 0) AS {name}")
@@ -95,8 +100,9 @@ FROM customer LEFT JOIN feats ON feats.o_custkey = c_custkey"""
 @query("two_level_rollup", _two_level_sql())
 def two_level_rollup(spark, folder):
     df = two_level_features(spark, folder)
-    variances = [c for c in df.columns if c.endswith("_VAR")]
-    return rounded(df.withColumns({c: F.round(F.col(c) + OFF_TIE, 0) for c in variances}), shift=OFF_TIE)
+    names = {f"{p}{c}_VAR": variance_digits(c) for p in ("ALL_", "OPEN_", "DONE_") for c in TWO_LEVEL_COLUMNS}
+    coarse = {n: F.round(F.col(n) + OFF_TIE, d) for n, d in names.items() if d < 0}
+    return rounded(df.withColumns(coarse), shift=OFF_TIE)
 
 
 @query(
@@ -139,8 +145,9 @@ LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
 @query(
     "status_first_last",
     """
-WITH x AS (SELECT l_orderkey, l_returnflag, l_shipdate, l_linenumber, l_partkey, l_suppkey
-  FROM lineitem WHERE NOT (l_returnflag = 'N' AND l_linenumber % 2 = 0)),
+WITH g AS (SELECT l_orderkey, CASE WHEN l_returnflag = 'N' AND l_linenumber % 2 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
+  l_shipdate, l_linenumber, l_partkey, l_suppkey FROM lineitem),
+x AS (SELECT * FROM g WHERE l_returnflag IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS a,
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS b FROM x)
 SELECT l_orderkey, max(CASE WHEN a = 1 THEN l_returnflag END) AS first_status,
@@ -330,8 +337,8 @@ def group_median_lookup_query(spark, folder):
 
 @query(
     "star_assembly",
-    """
-WITH o AS (SELECT o_custkey AS k, round(avg(o_totalprice), 4) AS ORD_o_totalprice_MEAN, count(*) AS ORD_COUNT FROM orders
+    f"""
+WITH o AS (SELECT o_custkey AS k, {round_sql('avg(o_totalprice)')} AS ORD_o_totalprice_MEAN, count(*) AS ORD_COUNT FROM orders
     WHERE o_orderstatus = 'P' GROUP BY 1),
 l AS (SELECT o_custkey AS k, round(sum(l_quantity), 4) AS LINE_l_quantity_SUM, count(*) AS LINE_COUNT
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1),
@@ -358,7 +365,7 @@ def star_assembly(spark, folder):
         rollup(keyed.where(F.col("l_returnflag") == "R"), RollupSpec("k", "DISC_", {"l_discount": ["min"]})),
     ]
     base = table(spark, folder, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
-    return rounded(star_join(base, tables, "k"))
+    return rounded(star_join(base, tables, "k"), shift=OFF_TIE)
 
 
 @query(
@@ -394,7 +401,7 @@ def union_label_null(spark, folder):
     "append_runs",
     f"""
 WITH {FOLD_SCORES_SQL}
-SELECT fold AS run, part, count(*) AS n, round(avg(score), 4) AS mean_score FROM scores WHERE fold < 3 GROUP BY fold, part""",
+SELECT fold AS run, part, count(*) AS n, round(avg(score), 4) AS mean_score FROM scores GROUP BY fold, part""",
 )
 def append_runs(spark, folder):
     scores = fold_scores(spark, folder)
@@ -403,7 +410,7 @@ def append_runs(spark, folder):
         rows = scores.where(F.col("fold") == f)
         return rows.groupBy("part").agg(F.count("*").alias("n"), F.avg("score").alias("mean_score"))
 
-    return rounded(stack_runs({f: one_run(f) for f in range(3)}, "run"))
+    return rounded(stack_runs({f: one_run(f) for f in range(5)}, "run"))
 
 
 @query(
