@@ -11,7 +11,11 @@ COUNT, MEAN, POWER = "__row_count", "__row_mean", "__row_power_"
 
 
 def _plus(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
+    """Sum as a balanced tree: a chain over hundreds of columns is too deep for the analyser."""
+    while len(terms) > 1:
+        pairs = [a + b for a, b in zip(terms[::2], terms[1::2])]
+        terms = pairs + terms[len(pairs) * 2 :]
+    return terms[0]
 
 
 def _present(cols: list[str]) -> Column:

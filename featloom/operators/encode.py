@@ -144,6 +144,16 @@ class TargetMean:
         return df
 
 
+def _numbered_per_column(table: DataFrame, columns: Sequence[str], order_by: list[str]) -> dict[str, DataFrame] | None:
+    """Numbered categories of several columns from one collected table, or None if it is too large to collect."""
+    small = small_or_none(table)
+    if small is None:
+        return None
+    ordered = Window.partitionBy("column").orderBy(*order_by)
+    numbered = small_or_none(small.withColumn("code", (F.row_number().over(ordered) - 1).cast("long")))
+    return {c: numbered.where(F.col("column") == c).select("value", "code") for c in columns}
+
+
 def _numbered(table: DataFrame, order_by: list[str], max_rows: int) -> DataFrame:
     """``table`` with a zero-based ``code`` in the given order."""
     small = small_or_none(table, max_rows)
@@ -169,6 +179,14 @@ class FirstSeenCodes:
         )
         return cls(column, _numbered(firsts, ["first", "value"], max_small).select("value", "code"))
 
+    @classmethod
+    def fit_all(cls, df: DataFrame, columns: Sequence[str], key: str) -> "list[FirstSeenCodes]":
+        """One scan for all columns; a set of columns with too many categories is fitted one by one."""
+        cells = _pairs(df, columns, [F.col(key).alias("key")]).where(F.col("value").isNotNull())
+        firsts = cells.groupBy("column", "value").agg(F.min("key").alias("first"))
+        tables = _numbered_per_column(firsts, columns, ["first", "value"])
+        return [cls(c, tables[c]) if tables else cls.fit(df, c, key) for c in columns]
+
     def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
         out = out or self.column
         missing = F.when(F.col(self.column).isNull(), F.lit(-1).cast("long"))
@@ -189,6 +207,15 @@ class AlphabeticalCodes:
         values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("value")).distinct()
         return cls(column, _numbered(values, ["value"], max_small).select("value", (F.col("code") + 1).alias("code")))
 
+    @classmethod
+    def fit_all(cls, df: DataFrame, columns: Sequence[str]) -> "list[AlphabeticalCodes]":
+        """One scan for all columns; a set of columns with too many categories is fitted one by one."""
+        cells = _pairs(df, columns).where(F.col("value").isNotNull()).distinct()
+        tables = _numbered_per_column(cells, columns, ["value"])
+        if tables is None:
+            return [cls.fit(df, c) for c in columns]
+        return [cls(c, tables[c].select("value", (F.col("code") + 1).alias("code"))) for c in columns]
+
     def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
         return _replace(df, self.table, self.column, "code", out or self.column)
 

@@ -192,8 +192,8 @@ def second_application(train: DataFrame, test: DataFrame) -> DataFrame:
     df = df.withColumn("NEW_EXT_SOURCES_MEAN", rw.row_mean(spec.SOURCES))
     df = with_formulas(rw.with_row_std(df, spec.SOURCES, "NEW_SCORES_STD"), spec.SECOND_APPLICATION_FEATURES)
     df = fill_derived_with_mean(df, "NEW_SCORES_STD")
-    for c in spec.SECOND_BINARY:
-        df = FirstSeenCodes.fit(df, c, KEY).transform(df)
+    for codes in FirstSeenCodes.fit_all(df, spec.SECOND_BINARY, KEY):
+        df = codes.transform(df)
     df = OneHot.fit(df, categorical_columns(df), null_column="never").transform(df)
     return df.drop(*spec.DROPPED_DOCUMENTS_SECOND)
 
@@ -279,8 +279,9 @@ def second_features(tables: dict[str, DataFrame], rows: int | None = None) -> Da
 
 def with_codes(df: DataFrame) -> DataFrame:
     """Every text column as its alphabetical code."""
-    for c in categorical_columns(df):
-        df = AlphabeticalCodes.fit(df, c).transform(df)
+    text = categorical_columns(df)
+    for codes in AlphabeticalCodes.fit_all(df, text) if text else []:
+        df = codes.transform(df)
     return df
 
 

@@ -96,3 +96,15 @@ def test_lookup_join_with_and_without_broadcast(spark, in_order):
     small, large = lookup_join(df, lookup, ["c"]), lookup_join(df, lookup, ["c"], max_rows=1)
     assert in_order(small, "id") == in_order(large, "id")
     assert small_or_none(lookup, 1) is None
+
+
+def test_codes_of_several_columns_equal_single_fits(cats, in_order):
+    df = cats.withColumn("d", F.when(F.col("k") > 2, F.lit("z")).otherwise(F.lit("y")))
+    for single, many in (
+        ([FirstSeenCodes.fit(df, c, "k") for c in ("c", "d")], FirstSeenCodes.fit_all(df, ["c", "d"], "k")),
+        ([AlphabeticalCodes.fit(df, c) for c in ("c", "d")], AlphabeticalCodes.fit_all(df, ["c", "d"])),
+    ):
+        one, all_ = df, df
+        for a, b in zip(single, many):
+            one, all_ = a.transform(one), b.transform(all_)
+        assert in_order(one.select("k", "c", "d"), "k") == in_order(all_.select("k", "c", "d"), "k")

@@ -127,3 +127,9 @@ def test_normal_functions(spark):
     for r in df.select("p", special.erfinv(2 * F.col("p") - 1).alias("e"), special.two_sided_p(special.probit(F.col("p"))).alias("t")).collect():
         assert math.erf(r["e"]) == pytest.approx(2 * r["p"] - 1, abs=1e-7)
         assert r["t"] == pytest.approx(2 * min(r["p"], 1 - r["p"]), abs=1e-6)
+
+
+def test_missing_count_over_a_thousand_columns(spark):
+    wide = spark.range(2).select("id", *[F.when(F.col("id") == 0, F.lit(i)).alias(f"c{i}") for i in range(1000)])
+    counts = wide.select("id", rw.row_null_count([f"c{i}" for i in range(1000)]).alias("n"))
+    assert {r["id"]: r["n"] for r in counts.collect()} == {0: 0, 1: 1000}
