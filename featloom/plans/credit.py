@@ -45,6 +45,7 @@ from featloom.operators.rollup import (
     summarise_all,
 )
 from featloom.plans import credit_spec as spec
+from featloom.sources.tables import first_rows
 from featloom.workspace import materialise
 
 KEY, LOAN, PREVIOUS, LABEL = spec.KEY, spec.LOAN, spec.PREVIOUS, spec.LABEL
@@ -256,11 +257,17 @@ def second_card_balance(card: DataFrame) -> DataFrame:
 
 
 def second_features(tables: dict[str, DataFrame], rows: int | None = None) -> DataFrame:
-    """``rows`` limits every table to its first rows in key order, for debugging."""
-    from featloom.sources.tables import first_rows
+    """``rows`` limits every table to its first rows in key order, for debugging.
 
-    keys = {"bureau": [LOAN], "bureau_balance": [LOAN, "MONTHS_BALANCE"]}
-    t = {n: first_rows(df, keys.get(n, [KEY]), rows) for n, df in tables.items()}
+    The other columns break ties, so the sample is the same on every run.
+    """
+    keys = {"bureau": LOAN, "bureau_balance": LOAN}
+
+    def sample(name: str, df: DataFrame) -> DataFrame:
+        key = keys.get(name, KEY)
+        return first_rows(df, [key, *[c for c in df.columns if c != key]], rows)
+
+    t = {name: sample(name, df) for name, df in tables.items()}
     return star_join(
         second_application(t["application_train"], t["application_test"]),
         [
