@@ -179,12 +179,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     what is left. A null or empty text has no words. Rows with the same id are judged alike and
     never against each other; a row without an id keeps its text and removes nothing. Texts shorter
     than a window are kept. Other columns of ``docs`` are not read. ``parts`` is the number of hash
-    buckets (from four times the session's shuffle partitions); one bucket at a time is in memory.
+    buckets (a prime from the session's shuffle partitions on); one bucket at a time is in memory, and a task
+    sends at most one packed row to each.
     """
     if not 0 < period <= window:
         raise ValueError("period must be between 1 and window")
     spark = docs.sparkSession
-    parts = blocks.prime_from(parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = blocks.prime_from(parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
     anchor = window - period + 1
     at_cover = np.zeros(period, bool)
     at_cover[difference_cover(period)] = True
