@@ -156,11 +156,18 @@ def train(texts: list[str], labels: list[str], settings: Training = Training())
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", settings: Training = Training()) -> Network | None:
-    """Train on at most ``settings.rows`` labelled rows; which rows depends only on their ids."""
+    """Train on at most ``settings.rows`` labelled rows; which rows depends only on their ids.
+
+    The rows are first thinned by hash to little more than that number, so what the tasks send to the driver does
+    not grow with the table.
+    """
+    labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
+    share = min(1.0, (1.2 * settings.rows + 200) / max(labelled.count(), 1))
     rows = (
-        docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(id_col).cast("string").alias("id"), F.substring(F.col(text_col), 1, settings.row_chars).alias("text"), F.col(label_col).cast("string").alias("label"))
-        .orderBy(F.xxhash64("id"), "id", "text", "label")
+        labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
+        .where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
+        .select("id", F.substring("text", 1, settings.row_chars).alias("text"), "label")
+        .orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id", "text", "label")
         .limit(settings.rows)
         .toPandas()
     )
