@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featloom.llm import blocks, tokens
+from featloom.workspace import materialise
 
 #: Lengths in a block of the two-level sums.
 BLOCK = 1024
@@ -44,8 +45,7 @@ def context_limits(histogram: DataFrame) -> DataFrame:
     (documents of at most L tokens by all; L is the quantile of that rank). A limit between two occurring lengths l < L
     keeps ``tokens_truncated`` of l plus (limit - l) * ``docs_over`` of l. An empty table gives no rows.
     """
-    block = F.floor(F.col("n_tokens") / BLOCK)
-    cells = histogram.withColumn("block", block)
+    cells = materialise(histogram.select("n_tokens", "n_docs"), "histogram").withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     sums = cells.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     after = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
