@@ -32,7 +32,11 @@ class NullRule:
     below: float | None = None
     equals: Any = None
 
-    def apply(self) -> Column:
+    def __post_init__(self):
+        if self.above is None and self.below is None and self.equals is None:
+            raise ValueError(f"the rule for {self.column} tests nothing")
+
+    def test(self) -> Column:
         c = F.col(self.column)
         tests = []
         if self.above is not None:
@@ -41,11 +45,15 @@ class NullRule:
             tests.append(c < self.below)
         if self.equals is not None:
             tests.append(c == self.equals)
-        return F.when(reduce(lambda a, b: a | b, tests), None).otherwise(c)
+        return reduce(lambda a, b: a | b, tests)
 
 
 def apply_null_rules(df: DataFrame, rules: Iterable[NullRule]) -> DataFrame:
-    return df.withColumns({r.column: r.apply() for r in rules})
+    """Null out what any of a column's rules calls missing; rules of one column add up."""
+    tests: dict[str, Column] = {}
+    for r in rules:
+        tests[r.column] = tests[r.column] | r.test() if r.column in tests else r.test()
+    return df.withColumns({c: F.when(test, None).otherwise(F.col(c)) for c, test in tests.items()})
 
 
 def exclude_values(df: DataFrame, values: dict[str, Any]) -> DataFrame:

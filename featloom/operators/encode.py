@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from featloom.functions.special import erfinv
 from featloom.operators.assemble import to_long
 from featloom.operators.rank import exact_rank, quantiles_by
-from featloom.operators.rollup import NULL_CATEGORY, category_name, indicator
+from featloom.operators.rollup import NULL_CATEGORY, category_columns, indicator
 from featloom.workspace import SMALL_TABLE_ROWS, lookup_join, materialise, small_or_none
 
 MAX_ONE_HOT_COLUMNS = 10_000
+# A text column with more values than this has no column for each of them in a wide table.
+WIDE_VALUES = 1_000
 
 
 def _pairs(df: DataFrame, columns: Sequence[str], keep: Sequence[Any] = ()) -> DataFrame:
@@ -44,6 +46,23 @@ def observed_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list
     return {c: sorted(vs, key=lambda v: (v is None, v or "")) for c, vs in out.items()}
 
 
+def narrow_text_columns(df: DataFrame, columns: Sequence[str], values: int = WIDE_VALUES) -> list[str]:
+    """The columns with at most ``values`` values, narrowest first up to the bound on all one-hot columns.
+
+    The others' shares come in long form (``category_shares``). One count for each column reaches the driver.
+    """
+    if not columns:
+        return []
+    counts = _pairs(df, columns).distinct().groupBy("column").agg(F.count("*").alias("n"))
+    met = {r["column"]: r["n"] for r in counts.collect()}
+    chosen, total = set(), 0
+    for c in sorted(columns, key=lambda c: (met.get(c, 0), c)):
+        total += met.get(c, 0)
+        if met.get(c, 0) <= values and total <= MAX_ONE_HOT_COLUMNS:
+            chosen.add(c)
+    return [c for c in columns if c in chosen]
+
+
 @dataclass(frozen=True)
 class OneHot:
     """0/1 columns ``c_value``; the source columns are dropped."""
@@ -62,16 +81,7 @@ class OneHot:
         return cls(found)
 
     def columns(self) -> dict[str, Column]:
-        out: dict[str, Column] = {}
-        for c, values in self.categories.items():
-            for v in values:
-                name = base = f"{c}_{category_name(v)}"
-                suffix = 1
-                while name in out:
-                    suffix += 1
-                    name = f"{base}_{suffix}"
-                out[name] = indicator(c, v)
-        return out
+        return {name: indicator(c, v) for name, (c, v) in category_columns(self.categories).items()}
 
     def transform(self, df: DataFrame) -> DataFrame:
         kept = [c for c in df.columns if c not in self.categories]

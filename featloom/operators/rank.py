@@ -18,6 +18,8 @@ from featloom.workspace import lookup_join, materialise
 
 PART = "__part"
 PLACE = "__place"
+# The grouping columns as one value that is never null, so that null groups meet in joins as well.
+GROUP = "__group"
 ROW_BITS = 33  # monotonically_increasing_id keeps the partition above the low 33 bits
 
 
@@ -30,27 +32,29 @@ def exact_rank(
 ) -> DataFrame:
     """Zero-based position of each row in ``order_by`` order within ``by``.
 
-    ``order_by`` has to be unique within ``by``: end it with the row key.
+    ``order_by`` has to be unique within ``by``: end it with the row key. Nulls in ``by`` are a group of their own.
     """
     by = list(by)
+    group = [GROUP] if by else []
     placed = materialise(
         df.repartitionByRange(*by, *order_by)
         .sortWithinPartitions(*by, *order_by)
         .withColumn(PLACE, F.monotonically_increasing_id())
-        .withColumn(PART, F.shiftright(PLACE, ROW_BITS)),
+        .withColumn(PART, F.shiftright(PLACE, ROW_BITS))
+        .withColumns({g: F.struct(*by) for g in group}),
         "rank",
     )
-    parts = placed.groupBy(*by, PART).agg(
+    parts = placed.groupBy(*group, PART).agg(
         F.count("*").alias("__n"), F.min(PLACE).alias("__first")
     )
     # One row per (group, partition): without groups this is at most one row per partition.
-    ordered = Window.partitionBy(*by).orderBy(PART)
+    ordered = Window.partitionBy(*group).orderBy(PART)
     offsets = parts.select(
-        *by, PART, (_before("__n", ordered) - F.col("__first")).alias("__offset")
+        *group, PART, (_before("__n", ordered) - F.col("__first")).alias("__offset")
     )
     # Offsets are one row per group and partition: broadcast when few, else joined by shuffle.
-    joined = lookup_join(placed, offsets, [*by, PART])
-    return joined.withColumn(out, F.col(PLACE) + F.col("__offset")).drop(PLACE, PART, "__offset")
+    joined = lookup_join(placed, offsets, [*group, PART])
+    return joined.withColumn(out, F.col(PLACE) + F.col("__offset")).drop(*group, PLACE, PART, "__offset")
 
 
 def running_totals(
@@ -58,31 +62,36 @@ def running_totals(
 ) -> DataFrame:
     """Adds ``<c>_before`` (sum over earlier rows) and ``<c>_total`` for each column of ``totals``.
 
-    Collapse equal keys first: a window covers one range partition of one group.
+    Collapse equal keys first: a window covers one range partition of one group. Nulls in ``by`` are a group of their own.
     """
     by = list(by)
-    placed = materialise(
-        df.repartitionByRange(*by, *order_by).withColumn(PART, F.spark_partition_id()), "totals"
-    )
-    parts = placed.groupBy(*by, PART).agg(*[F.sum(c).alias(c) for c in totals])
-    ordered = Window.partitionBy(*by).orderBy(PART)
-    whole = Window.partitionBy(*by)
+    group = [GROUP] if by else []
+    ranged = df.repartitionByRange(*by, *order_by).withColumn(PART, F.spark_partition_id())
+    placed = materialise(ranged.withColumns({g: F.struct(*by) for g in group}), "totals")
+    parts = placed.groupBy(*group, PART).agg(*[F.sum(c).alias(c) for c in totals])
+    ordered = Window.partitionBy(*group).orderBy(PART)
+    whole = Window.partitionBy(*group)
     offsets = parts.select(
-        *by,
+        *group,
         PART,
         *[_before(c, ordered).alias(f"__{c}_offset") for c in totals],
         *[F.sum(c).over(whole).alias(f"{c}_total") for c in totals],
     )
-    inside = Window.partitionBy(*by, PART).orderBy(*order_by)
+    inside = Window.partitionBy(*group, PART).orderBy(*order_by)
     running = placed.withColumns({f"__{c}_inside": _before(c, inside) for c in totals})
     # The window has already hashed the rows by group and partition, so this join moves no row again.
     return (
-        running.join(offsets, [*by, PART])
+        running.join(offsets, [*group, PART])
         .withColumns({f"{c}_before": F.col(f"__{c}_inside") + F.col(f"__{c}_offset") for c in totals})
-        .drop(PART, *[f"__{c}_{k}" for c in totals for k in ("offset", "inside")])
+        .drop(*group, PART, *[f"__{c}_{k}" for c in totals for k in ("offset", "inside")])
     )
 
 
+def top_k(df: DataFrame, value: str, k: int, key: str) -> DataFrame:
+    """The ``k`` rows of largest ``value``; equal values go by ``key``, null values come last."""
+    return df.orderBy(F.desc_nulls_last(value), key).limit(k)
+
+
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Distinct non-null values per group with their row count ``n``."""
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))

@@ -36,6 +36,25 @@ def category_name(value: Any) -> str:
     return NULL_CATEGORY if value is None else re.sub(r"\W+", "_", str(value))
 
 
+def category_columns(categories: dict[str, Sequence[Any]]) -> dict[str, tuple[str, Any]]:
+    """Output name -> (column, value) for every category; a name that is taken gets a number.
+
+    Null keeps the plain null name, also where a value reads the same.
+    """
+    names: dict[tuple[str, int], str] = {}
+    taken: set[str] = set()
+    cells = [(c, i, v) for c, values in categories.items() for i, v in enumerate(values)]
+    for c, i, v in sorted(cells, key=lambda cell: cell[2] is not None):
+        name = base = f"{c}_{category_name(v)}"
+        suffix = 1
+        while name in taken:
+            suffix += 1
+            name = f"{base}_{suffix}"
+        taken.add(name)
+        names[c, i] = name
+    return {names[c, i]: (c, v) for c, i, v in cells}
+
+
 def quoted(name: str) -> str:
     return f"`{name}`"
 
@@ -82,9 +101,19 @@ class RollupSpec:
         return f"{self.prefix if prefix is None else prefix}{column}_{function.upper()}"
 
     def share_columns(self) -> dict[str, Column]:
-        return {
-            f"{c}_{category_name(v)}": indicator(c, v) for c, vs in self.shares.items() for v in vs
-        }
+        return {name: indicator(c, v) for name, (c, v) in category_columns(self.shares).items()}
+
+
+def category_shares(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Long form of the category shares: (key, column, value, share) for every value a key has.
+
+    The number of categories is not bounded; null is a value of its own. Null keys are left out.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    source = df.where(F.col(key).isNotNull())
+    counted = source.select(key, F.inline(cells)).groupBy(key, "column", "value").agg(F.count("*").alias("n"))
+    sizes = source.groupBy(key).agg(F.count("*").alias("__rows"))
+    return counted.join(sizes, key).select(key, "column", "value", (F.col("n") / F.col("__rows")).alias("share"))
 
 
 def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:

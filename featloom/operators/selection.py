@@ -60,6 +60,8 @@ def residual_rounds(vectors: DataFrame, key: str, recipe: Recipe, stop_at: float
         model = recipe.fit(table)
         area = roc_auc(score(model, table), LABEL, "score").first()["auc"]
         rounds.append(ResidualRound([names[i] for i in left], area))
+        if area is None:
+            raise ValueError("the labelled rows hold one class only, so there is no AUC to stop at")
         if area <= stop_at:
             return rounds
         # featureImportances is positive exactly for the features split on.

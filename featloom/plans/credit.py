@@ -33,11 +33,12 @@ from featloom.operators.encode import (
     TargetMean,
     fill_derived_with_mean,
     group_median_lookup,
+    narrow_text_columns,
     observed_categories,
 )
 from featloom.operators.rollup import (
     RollupSpec,
-    category_name,
+    category_columns,
     quoted,
     rollup,
     rollup_with_subsets,
@@ -62,8 +63,11 @@ def with_missing_count(df: DataFrame, name: str, label: str | None = None) -> Da
 
 
 def _shares(df: DataFrame, null_column: bool = False) -> dict[str, list]:
-    """Categories per text column; ``null_column`` adds a null share even where no null occurs."""
-    text = categorical_columns(df)
+    """Categories per text column; ``null_column`` adds a null share even where no null occurs.
+
+    A column with more values than a wide table can hold is left to ``category_shares``.
+    """
+    text = narrow_text_columns(df, categorical_columns(df))
     found = observed_categories(df, text) if text else {}
     if null_column:
         found = {c: [v for v in vs if v is not None] + [None] for c, vs in found.items()}
@@ -108,7 +112,7 @@ def bureau_balance(balance: DataFrame) -> DataFrame:
             F.min("MONTHS_BALANCE").alias("MONTHS_BALANCE_MIN"),
             F.max("MONTHS_BALANCE").alias("MONTHS_BALANCE_MAX"),
             F.count("*").alias("MONTHS_BALANCE_SIZE"),
-            *[F.avg(same(v)).alias(f"STATUS_{category_name(v)}_MEAN") for v in statuses],
+            *[F.avg(same(v)).alias(f"{name}_MEAN") for name, (_, v) in category_columns({"STATUS": statuses}).items()],
         ],
     )
     ends = {c: list(statuses) for c in ("First_status", "Last_status")}
@@ -297,8 +301,14 @@ def summary(df: DataFrame, key: str, prefix: str, drop: Sequence[str] = ()) -> D
     return summarise_all(coded, key, spec.SUMMARY_FUNCTIONS, prefix, drop)
 
 
+STABLE_DIGITS = 6
+
+
 def summary_bureau(loans: DataFrame, balance: DataFrame) -> DataFrame:
-    return summary(loans.join(summary(balance, LOAN, "BAL_"), LOAN, "left"), KEY, "BUR_", [LOAN])
+    months = summary(balance, LOAN, "BAL_")
+    # The last bits of a deviation depend on the order of its sum; the distinct count must not.
+    months = months.withColumns({c: F.round(c, STABLE_DIGITS) for c in months.columns if c.endswith("_STD")})
+    return summary(loans.join(months, LOAN, "left"), KEY, "BUR_", [LOAN])
 
 
 def summary_previous(prev: DataFrame) -> DataFrame:

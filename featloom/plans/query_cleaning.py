@@ -420,3 +420,12 @@ SELECT {ID_SQL}, {round_sql('coalesce(s, avg(s) OVER ())')} AS std FROM r""",
 def impute_derived_std(spark, folder):
     lines = rw.with_row_std(gapped_lines(spark, folder), ["l_quantity", "l_discount", "l_tax"], "std")
     return rounded(fill_derived_with_mean(lines.select(*LINE_ID, "std"), "std"), shift=OFF_TIE)
+
+
+@query(
+    "two_rules_one_column",
+    "SELECT c_custkey, CASE WHEN c_acctbal > 9000 OR c_acctbal < -500 OR c_acctbal = 0 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer",
+)
+def two_rules_one_column(spark, folder):
+    customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
+    return apply_null_rules(customers, [NullRule("c_acctbal", above=9000), NullRule("c_acctbal", below=-500), NullRule("c_acctbal", equals=0.0)])

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from featloom.plans import credit
 from featloom.plans.credit_roles import ROLES, credit_tables
-from featloom.plans.registry import OFF_TIE, query, round_sql
+from featloom.plans.registry import OFF_TIE, REGISTRY, query, round_sql
 
 DAY = 365243
 CATEGORIES = {
@@ -286,8 +286,11 @@ def second_bureau(spark, folder):
 SIX = ["mean", "std", "min", "max", "sum", "nunique"]
 SUMMARY_BALANCE = ["MONTHS_BALANCE", "STATUS"]
 BALANCE_COLUMNS = [f"BAL_{c}_{fn.upper()}" for c in SUMMARY_BALANCE for fn in SIX]
-# Counting distinct deviations depends on their last bit, which two engines need not share.
-UNSTABLE = ["BUR_BAL_MONTHS_BALANCE_STD_NUNIQUE", "BUR_BAL_STATUS_STD_NUNIQUE"]
+
+
+def _steady(expr: str, function: str) -> str:
+    """Deviations without their last bits, which depend on the order of the sum."""
+    return f"round({expr}, 6)" if function == "std" else expr
 
 
 @query(
@@ -295,16 +298,15 @@ UNSTABLE = ["BUR_BAL_MONTHS_BALANCE_STD_NUNIQUE", "BUR_BAL_STATUS_STD_NUNIQUE"]
     f"""
 WITH bal AS (SELECT SK_ID_BUREAU, MONTHS_BALANCE, CASE WHEN STATUS IS NOT NULL THEN dense_rank() OVER (ORDER BY STATUS NULLS LAST) END AS STATUS
   FROM ({ROLES['bureau_balance']})),
-s AS (SELECT SK_ID_BUREAU, {', '.join(f"{FUNCTION_SQL[fn].format(c=c, f='')} AS BAL_{c}_{fn.upper()}" for c in SUMMARY_BALANCE for fn in SIX)} FROM bal GROUP BY 1),
+s AS (SELECT SK_ID_BUREAU, {', '.join(f"{_steady(FUNCTION_SQL[fn].format(c=c, f=''), fn)} AS BAL_{c}_{fn.upper()}" for c in SUMMARY_BALANCE for fn in SIX)} FROM bal GROUP BY 1),
 b0 AS (SELECT * REPLACE (dense_rank() OVER (ORDER BY CREDIT_ACTIVE) AS CREDIT_ACTIVE,
     CASE WHEN CREDIT_TYPE IS NOT NULL THEN dense_rank() OVER (ORDER BY CREDIT_TYPE NULLS LAST) END AS CREDIT_TYPE) FROM ({ROLES['bureau']})),
 b AS (SELECT b0.*, s.* EXCLUDE (SK_ID_BUREAU) FROM b0 LEFT JOIN s ON s.SK_ID_BUREAU = b0.SK_ID_BUREAU)
-SELECT * EXCLUDE ({', '.join(UNSTABLE)}) FROM (
-{rollup_sql('b', 'BUR_', {c: SIX for c in [*BUREAU_NUMBERS, 'CREDIT_ACTIVE', 'CREDIT_TYPE', *BALANCE_COLUMNS]}, {})})""",
+{rollup_sql('b', 'BUR_', {c: SIX for c in [*BUREAU_NUMBERS, 'CREDIT_ACTIVE', 'CREDIT_TYPE', *BALANCE_COLUMNS]}, {})}""",
 )
 def summary_bureau(spark, folder):
     t = credit_tables(spark, folder)
-    return published(credit.summary_bureau(t["bureau"], t["bureau_balance"]).drop(*UNSTABLE))
+    return published(credit.summary_bureau(t["bureau"], t["bureau_balance"]))
 
 
 # --- previous applications --------------------------------------------------------------------
@@ -492,14 +494,20 @@ def second_card(spark, folder):
 # --- whole feature sets -----------------------------------------------------------------------
 
 
-@query("canonical_features")
+def joined_sql(first: str, *others: str) -> str:
+    """Left joins of the tables' own SQL on the applicant."""
+    joins = " ".join(f"LEFT JOIN ({REGISTRY[n].sql}) USING (SK_ID_CURR)" for n in others)
+    return f"SELECT * FROM ({REGISTRY[first].sql}) {joins}"
+
+
+@query("canonical_features", joined_sql("credit_application", "credit_bureau", "credit_previous", "credit_pos", "credit_instalments", "credit_card"))
 def canonical_features(spark, folder):
-    return credit.canonical_features(credit_tables(spark, folder))
+    return published(credit.canonical_features(credit_tables(spark, folder)))
 
 
-@query("second_features")
+@query("second_features", joined_sql("second_application", "second_bureau", "second_previous", "second_pos", "second_instalments", "second_card"))
 def second_features(spark, folder):
-    return credit.second_features(credit_tables(spark, folder))
+    return published(credit.second_features(credit_tables(spark, folder)))
 
 
 @query("summary_features")

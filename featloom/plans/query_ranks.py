@@ -17,7 +17,7 @@ from featloom.operators.folds import (
     stratified_kfold,
 )
 from featloom.operators.metrics import log_loss, precision_recall, roc_auc, score_summary
-from featloom.operators.rank import exact_rank, mid_ranks, permute
+from featloom.operators.rank import exact_rank, mid_ranks, permute, top_k
 from featloom.operators.selection import null_importance_log_score, null_importance_percent_score
 from featloom.operators.separation import (
     class_separation,
@@ -201,14 +201,14 @@ def rank_gauss_query(spark, folder):
     "topk_importance",
     """
 SELECT p_type AS feature, round(sum(l_extendedprice), 2) AS importance FROM lineitem JOIN part ON p_partkey = l_partkey
-GROUP BY p_type ORDER BY sum(l_extendedprice) DESC LIMIT 3""",
+GROUP BY p_type ORDER BY importance DESC, feature LIMIT 3""",
 )
 def topk_importance(spark, folder):
     joined = table(spark, folder, "lineitem").join(
         table(spark, folder, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey"
     )
     importance = joined.groupBy(F.col("p_type").alias("feature")).agg(F.sum("l_extendedprice").alias("importance"))
-    return rounded(importance.orderBy(F.desc("importance")).limit(3), 2)
+    return top_k(rounded(importance, 2), "importance", 3, "feature")
 
 
 def _permuted_sql(seeds) -> str:
@@ -486,3 +486,13 @@ FROM nulls n JOIN q ON q.feature = n.feature GROUP BY n.feature""",
 )
 def null_importance_percent(spark, folder):
     return rounded(null_importance_percent_score(*_importances(spark, folder), ["gain", "split"]))
+
+
+@query(
+    "auc_null_group",
+    f"WITH {FOLD_SCORES_SQL}, {VALID_SQL}, g AS (SELECT * REPLACE (nullif(fold, 1) AS fold) FROM valid) SELECT fold, round(auc, 4) AS auc FROM ({_auc_sql('g', 'fold')})",
+)
+def auc_null_group(spark, folder):
+    """Rows of an unknown group are a group of their own."""
+    scores = out_of_fold(fold_scores(spark, folder)).withColumn("fold", F.nullif("fold", F.lit(1)))
+    return rounded(roc_auc(scores, "label", "score", ["fold"]))

@@ -9,6 +9,7 @@ from featloom.operators.encode import group_median_lookup
 from featloom.operators.rank import quantiles_by
 from featloom.operators.rollup import (
     RollupSpec,
+    category_shares,
     column_statistics,
     distinct_counts,
     first_and_last,
@@ -422,3 +423,34 @@ SELECT doc_id, 'n_spaces', n_spaces::DOUBLE FROM docs UNION ALL SELECT doc_id, '
 )
 def wide_to_long(spark, folder):
     return to_long(labelled_documents(spark, folder), ["doc_id"], ["n_chars", "n_spaces", "toxic"])
+
+
+COLLIDING = """CASE l_linenumber % 5 WHEN 0 THEN 'a-b' WHEN 1 THEN 'a b' WHEN 2 THEN 'NaN' WHEN 3 THEN NULL ELSE l_returnflag END"""
+
+
+@query(
+    "share_name_collision",
+    f"""
+WITH x AS (SELECT l_suppkey, {COLLIDING} AS mark FROM lineitem)
+SELECT l_suppkey, {', '.join(f"round(avg(CASE WHEN {test} THEN 1.0::DOUBLE ELSE 0 END), 6) AS {name}" for name, test in {
+    'mark_NaN_MEAN': 'mark IS NULL', 'mark_NaN_2_MEAN': "mark = 'NaN'", 'mark_a_b_MEAN': "mark = 'a b'", 'mark_a_b_2_MEAN': "mark = 'a-b'"}.items())}
+FROM x GROUP BY l_suppkey""",
+)
+def share_name_collision(spark, folder):
+    """Values whose cleaned names agree, and null beside the text it is named after, keep a column each."""
+    lines = table(spark, folder, "lineitem").select("l_suppkey", F.expr(COLLIDING).alias("mark"))
+    spec = RollupSpec("l_suppkey", "", shares={"mark": ["a b", "a-b", "NaN", None]})
+    return rounded(rollup(lines, spec), 6)
+
+
+@query(
+    "category_share_long",
+    """
+WITH c AS (SELECT o_custkey, unnest([struct_pack(c := 'o_orderpriority', v := o_orderpriority), struct_pack(c := 'day', v := strftime(o_orderdate, '%Y-%m-%d'))]) AS s FROM orders),
+n AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
+SELECT o_custkey, s.c AS "column", s.v AS value, round(count(*)::DOUBLE / any_value(n), 6) AS share FROM c JOIN n USING (o_custkey) GROUP BY ALL""",
+)
+def category_share_long(spark, folder):
+    """Shares of a column with thousands of values, one row for each value a customer has."""
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return rounded(category_shares(orders, "o_custkey", ["o_orderpriority", "day"]), 6)
