@@ -139,13 +139,19 @@ def quantiles_by(
     return counted.groupBy(*by).agg(*aggregates).select(*by, *outputs)
 
 
+def key_places(df: DataFrame, key: str) -> DataFrame:
+    """(key, ``__rank``): position of each row in key order."""
+    return exact_rank(df.select(key), [key], (), "__rank")
+
+
 def permute(
-    df: DataFrame, key: str, columns: Sequence[str], seeds: Sequence[int | str], seed_column: str = "seed"
+    df: DataFrame, key: str, columns: Sequence[str], seeds: Sequence[int | str], seed_column: str = "seed", places: DataFrame | None = None
 ) -> DataFrame:
     """``columns`` shuffled over the rows, once per seed: (seed, key, columns).
 
     The row at position r in key order takes the values of the row at position
-    r in the order of the seeded key hash, so every value is used exactly once.
+    r in the order of the seeded key hash, so every value is used exactly once. ``places`` are the rows'
+    positions (``key_places``), for callers that permute the same rows again and again.
     """
     seeded = (
         df.select(key, *columns)
@@ -153,5 +159,5 @@ def permute(
         .withColumn("__hash", hash_text(key, F.col(seed_column)))
     )
     donors = exact_rank(seeded, ["__hash", key], [seed_column], "__rank").drop(key, "__hash")
-    takers = exact_rank(df.select(key), [key], (), "__rank")
+    takers = key_places(df, key) if places is None else places
     return takers.join(donors, "__rank").select(seed_column, key, *columns)

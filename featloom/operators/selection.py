@@ -24,7 +24,7 @@ from featloom.operators.models import (
     vector_names,
     vector_table,
 )
-from featloom.operators.rank import permute
+from featloom.operators.rank import key_places, permute
 from featloom.workspace import materialise
 
 
@@ -200,12 +200,13 @@ def shadow_selection(
     labelled = df.where(F.col(label).isNotNull())
     clean = fill_with_mean(labelled.select(key, label, *features), features, limit=limit)
     base = materialise(clean, "shadow-base")
+    places = materialise(key_places(base, key), "shadow-places")
     state = ShadowState.start(features)
     for round_ in range(rounds):
         current = [f for f in features if state.status[f] != "rejected"]
         if not state.named("tentative"):
             break
-        block = permute(base, key, current, [f"{seed}:{round_}"]).drop("seed")
+        block = permute(base, key, current, [f"{seed}:{round_}"], places=places).drop("seed")
         shadows = block.withColumnsRenamed({f: f"shadow_{f}" for f in current})
         both = [*current, *[f"shadow_{f}" for f in current]]
         vectors = vector_table(base.select(key, label, *current).join(shadows, key), key, both, label)

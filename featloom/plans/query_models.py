@@ -181,7 +181,7 @@ def null_importance_runs(spark, folder):
 def shadow_selection_query(spark, folder):
     docs, features = document_features(spark, folder)
     recipe = Recipe(forest, {"numTrees": 20, "maxDepth": 5}, 42, balanced=True)
-    state = shadow_selection(docs, KEY, features, "quality", recipe, rounds=3, seed=42)
+    state = shadow_selection(docs, KEY, features, "quality", recipe, rounds=20, seed=42)
     rows = [(f, state.hits[f], s, state.rounds) for f, s in state.status.items()]
     return spark.createDataFrame(rows, "feature string, hits int, status string, rounds int")
 
