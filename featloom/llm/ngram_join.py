@@ -10,8 +10,10 @@ whose recall ``1 - (1 - s**d)**trees`` at the threshold reaches the target; grou
 count as one node there, so a group of near copies costs a link for each member, not for each pair. Every
 link is verified on the exact n-gram sets.
 
-A node's members are compared all with all if they are few; in a larger node every member is compared with
-``PIVOTS`` members picked by hash, other ones in every tree.
+A node's members are compared all with all if they are few; in a larger node every member is first compared with
+``PIVOTS`` members picked by hash, other ones in every tree, which links most of what belongs together. Nodes that still
+hold texts of several classes are then compared whole, block by block, on the exact sets, so no pair that meets in
+a trie goes unseen. The links of each class are counted over the same kind of blocks.
 """
 
 from __future__ import annotations
@@ -35,8 +37,11 @@ TREES = 14
 DEEP = 7
 PIVOTS = 4
 FEW = 8
-#: Classes of up to this many different texts have all their pairs compared for the number of links.
-COUNTED = 64
+#: Most texts and about the most bytes of text in a block; two blocks at a time are in memory.
+BLOCK = 128
+BLOCK_BYTES = 4 << 20
+#: Columns of the incidence matrix that are multiplied at once.
+_COLUMNS = 1 << 13
 
 
 def smallest_depth(threshold: float, trees: int, recall: float) -> int:
@@ -169,6 +174,91 @@ def _pairs(cells: DataFrame) -> DataFrame:
     return every.union(some.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b"))).distinct()
 
 
+def _in_blocks(members: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Members (key, id, label) with their texts in units (key, low, high) of one or two blocks; every two blocks of a key are one unit."""
+    sizes = members.join(bodies.select("id", "bytes"), "id").groupBy("key").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES), F.lit(1)).cast("long").alias("n_blocks"))
+    laid = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("n_blocks")))
+    units = laid.select("key", "id", "label", "block", F.explode(F.expr("sequence(0L, n_blocks - 1)")).alias("other"))
+    return units.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "label", "block").join(bodies, "id")
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Number of common n-grams of every two sets, by products of slices of their incidence matrix."""
+    grams, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    common = times > 1
+    keep = common[column]
+    row, column = row[keep], (np.cumsum(common) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(sets), len(sets)))
+    n_columns = int(common.sum())
+    for low in range(0, n_columns, _COLUMNS):
+        begin, stop = np.searchsorted(column, [low, low + _COLUMNS])
+        part = np.zeros((len(sets), min(_COLUMNS, n_columns - low)), np.float32)
+        part[row[begin:stop], column[begin:stop] - low] = 1
+        shared += part @ part.T
+    return shared
+
+
+def _unit_links(table: pa.Table, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and labels of a unit in the order of ids, and its linked pairs (places in that order) that no other unit of the key has."""
+    order = np.argsort(table["id"].to_numpy(), kind="stable")
+    ids, label, block = (table[c].to_numpy()[order] for c in ("id", "label", "block"))
+    size, body = table["bytes"].to_numpy(), table["body"]
+    sets = _sets([_plain(body[int(i)].as_py(), int(size[i])) for i in order], n)
+    shared, size = _shared(sets), np.array([len(x) for x in sets])
+    alike = shared >= 1
+    alike[alike] = (shared / np.maximum(size[:, None] + size[None] - shared, 1))[alike] >= threshold
+    if table["low"][0].as_py() != table["high"][0].as_py():
+        alike &= block[:, None] != block[None]
+    return ids, label, *np.nonzero(np.triu(alike, 1))
+
+
+def _class_links(nodes: DataFrame, bodies: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Links (a, b) of classes that share a node (key, id, label): in each unit just enough to connect them."""
+
+    def connect(table: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if len(set(table["label"].to_pylist())) > 1:
+            _, label, i, j = _unit_links(table, n, threshold)
+            root: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while (up := root.get(x, x)) != x:
+                    x = up
+                return x
+
+            for x, y in zip(label[i].tolist(), label[j].tolist()):
+                x, y = top(x), top(y)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    found.append((x, y))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return _in_blocks(nodes, bodies).groupBy("key", "low", "high").applyInArrow(connect, "a long, b long")
+
+
+def _number_of_links(classes: DataFrame, bodies: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(id, n_links) over all pairs of each class (key, id, label); texts without a link are left out."""
+
+    def count(table: pa.Table) -> pa.Table:
+        ids, _, i, j = _unit_links(table, n, threshold)
+        links = np.bincount(np.concatenate([i, j]), minlength=len(ids))
+        return pa.table({"id": pa.array(ids[links > 0], pa.int64()), "n_links": pa.array(links[links > 0], pa.int64())})
+
+    by_unit = _in_blocks(classes, bodies).groupBy("key", "low", "high").applyInArrow(count, "id long, n_links long")
+    return by_unit.groupBy("id").agg(F.sum("n_links").alias("n_links"))
+
+
+def _mixed_nodes(cells: DataFrame) -> DataFrame:
+    """The members (key, id, label) of nodes that hold several classes and were not compared all with all; equal nodes of several trees once."""
+    parts = cells.groupBy("key", "label").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
+    nodes = parts.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    mixed = nodes.where((F.col("labels") > 1) & ((F.col("n") > F.col("labels")) | (F.col("labels") > FEW)))
+    return cells.join(mixed.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "key")
+
+
 def ngram_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES, deep: int = DEEP
 ) -> DataFrame:
@@ -176,8 +266,7 @@ def ngram_join(
 
     Two texts are linked if the Jaccard similarity of their sets of ``n`` consecutive words is ``threshold`` or more.
     ``copy_of`` is the smallest id with an equal set, ``n_copies`` the number of such rows; ``class_id`` is the smallest
-    id reachable over links and copies; ``n_links`` the number of different texts (sets) linked with this one: all of them in classes of up
-    to ``COUNTED`` texts, those that were verified in larger ones. A text of fewer than ``n`` words, but some, is one n-gram.
+    id reachable over links and copies; ``n_links`` the number of different texts (sets) of its class linked with this one. A text of fewer than ``n`` words, but some, is one n-gram.
     A null or empty text, or one without words, is a class of its own without links. A null id gets null columns and joins nothing. Rows with
     the same id should have the same text; equal rows are copies. Other columns are not read.
     """
@@ -209,41 +298,20 @@ def ngram_join(
         links = new if links is None else links.union(new).dropDuplicates(["a", "b"])
         labels = materialise(components(links), "labels")
 
-    sizes = labels.groupBy("component").agg(F.count("*").alias("texts"))
-    sized = materialise(labels.join(sizes, "component"), "sized")
-    counted = _links_in_classes(sized.where(F.col("texts") <= COUNTED).select("id", "component"), bodies, n, threshold)
-    ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    large = sized.where(F.col("texts") > COUNTED).select("id").join(ends, "id")
-    n_links = counted.union(large.select("id", "n_links"))
-    by_text = labels.join(n_links, "id", "left").select(F.col("id").alias("copy_of"), F.col("component").alias("class"), "n_links")
+    label = F.coalesce("component", "id").alias("label")
+    known_class = materialise(candidates.join(labels, "id", "left").select("id", label), "classes")
+    cells = materialise(first.select("id", F.explode(f"d{least}").alias("key")).join(known_class, "id"), "cells")
+    joined = materialise(_class_links(materialise(_mixed_nodes(cells), "mixed"), bodies, n, threshold), "joined")
+    merged = components(joined).withColumnsRenamed({"id": "label", "component": "merged"})
+    classes = materialise(known_class.join(merged, "label", "left").select("id", F.coalesce("merged", "label").alias("key")), "classes")
+    several = classes.groupBy("key").count().where("count > 1").select("key")
+    n_links = _number_of_links(classes.join(several, "key").withColumn("label", F.col("key")), bodies, n, threshold)
+    by_text = classes.join(n_links, "id", "left").select(F.col("id").alias("copy_of"), F.col("key").alias("class"), "n_links")
     found = members.join(materialise(by_text, "by_text"), "copy_of", "left").select("id", F.coalesce("class", "copy_of").alias("class_id"), "copy_of", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     rest = source.where("id is null or text is null or not text rlike '[^ \\\\t-\\\\r]'").select("id", F.col("id").alias("class_id"), F.col("id").alias("copy_of"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
     return found.union(rest).withColumnRenamed("id", id_col)
 
 
-def _links_in_classes(classes: DataFrame, bodies: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(id, n_links) from all pairs of each class; classes are small and many of them share a task's group."""
-    parts = blocks.prime_from(4 * int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-    def count(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["component"].to_numpy(), kind="stable")
-        component, ids = table["component"].to_numpy()[order], table["id"].to_numpy()[order]
-        size, body = table["bytes"].to_numpy(), table["body"]
-        n_links = np.zeros(len(order), np.int64)
-        cuts = np.append(np.flatnonzero(np.diff(component, prepend=component[:1] - 1)), len(order))
-        for low, high in zip(cuts, cuts[1:]):
-            sets = _sets([_plain(body[int(i)].as_py(), int(size[i])) for i in order[low:high]], n)
-            for i in range(len(sets)):
-                for j in range(i):
-                    if _similarity(sets[i], sets[j]) >= threshold:
-                        n_links[low + i] += 1
-                        n_links[low + j] += 1
-        return pa.table({"id": pa.array(ids, pa.int64()), "n_links": pa.array(n_links)})
-
-    laid = classes.join(bodies, "id").withColumn("part", F.pmod(F.xxhash64("component"), F.lit(parts)))
-    return laid.groupBy("part").applyInArrow(count, "id long, n_links long")
-
-
 def keep_one(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the documents of a class other than its smallest id; rows without an id stay. Columns pass unchanged."""
     gone = joined.where(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct()

@@ -193,10 +193,33 @@ def test_ngram_join_holds_a_large_group_together(spark):
         rows.append((i, " ".join(own), None))
     rows += [(1000 + i, " ".join(_words(300, 50 + i)), None) for i in range(40)]
     got = {r["doc_id"]: r for r in ngram_join(_docs(spark, rows)).collect()}
-    assert {got[i]["class_id"] for i in range(400)} == {0} and all(got[i]["n_links"] > 0 for i in range(400))
+    assert {got[i]["class_id"] for i in range(400)} == {0} and all(got[i]["n_links"] == 399 for i in range(400))
     assert all(got[1000 + i]["class_id"] == 1000 + i for i in range(40))
 
 
+def test_ngram_join_finds_pairs_among_many_that_are_only_akin(spark):
+    base, rows = _words(300, 3), []
+    for i in range(150):  # some two thirds of the n-grams in common with every other text
+        own = base[:]
+        for k in range(10):
+            own[(29 * k + 11 * i) % 300] = f"own{i}x{k}"
+        rows.append((i, " ".join(own), None))
+        if i % 5 == 0:
+            own[1:200:66] = [f"late{i}"] * len(own[1:200:66])
+            rows.append((1000 + i, " ".join(own), None))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t, _ in rows for w in [t.split()]}
+    alike = {i: {j for j in sets if j != i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])} for i in sets}
+    got = {r["doc_id"]: r for r in ngram_join(_docs(spark, rows)).collect()}
+    assert {i: got[i]["n_links"] for i in sets} == {i: len(alike[i]) for i in sets} and max(map(len, alike.values())) < 9
+    for i in sets:
+        reached, todo = {i}, [i]
+        while todo:
+            new = alike[todo.pop()] - reached
+            reached |= new
+            todo += new
+        assert got[i]["class_id"] == min(reached)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (None, 5), (7, 7)], "a long, b long")
     got = {r["id"]: r["component"] for r in components(links).collect()}
