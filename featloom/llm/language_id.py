@@ -34,12 +34,14 @@ _SEEN = np.where(np.arange(256) >= 128, np.arange(256), np.where(_LETTER, np.ara
 class Training:
     """Bounds and settings of the fit.
 
-    rows: most labelled rows that are used (those with the smallest hash of their id); row_chars: their first characters;
+    rows: most labelled rows that are used (those with the smallest hash of their id); row_parts, part_chars: pieces that are
+    taken of each, in equal steps from its first to its last character, and their length (a shorter text is used whole);
     window: bytes in a window; filters: per width; epochs, batch, rate, decay: of the Adam optimiser.
     """
 
     rows: int = 6000
-    row_chars: int = 768
+    row_parts: int = 6
+    part_chars: int = 128
     window: int = 128
     filters: int = 8
     epochs: int = 8
@@ -155,6 +157,13 @@ def train(texts: list[str], labels: list[str], settings: Training = Training())
     return net
 
 
+def _spread_parts(text: Column, settings: Training) -> Column:
+    steps, size, last = settings.row_parts - 1, settings.part_chars, F.length(text) - settings.part_chars
+    begin = lambda k: (last * k / F.lit(max(steps, 1))).cast("int") + 1
+    parts = F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: F.substr(text, begin(k), F.lit(size)))
+    return F.when(F.length(text) <= settings.row_parts * size, text).otherwise(F.array_join(parts, " "))
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", settings: Training = Training()) -> Network | None:
     """Train on at most ``settings.rows`` labelled rows; which rows depends only on their ids.
 
@@ -166,7 +175,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     rows = (
         labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
         .where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
-        .select("id", F.substring("text", 1, settings.row_chars).alias("text"), "label")
+        .select("id", _spread_parts(F.col("text"), settings).alias("text"), "label")
         .orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id", "text", "label")
         .limit(settings.rows)
         .toPandas()
