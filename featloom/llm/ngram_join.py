@@ -251,6 +251,18 @@ def _number_of_links(classes: DataFrame, bodies: DataFrame, n: int, threshold: f
     return by_unit.groupBy("id").agg(F.sum("n_links").alias("n_links"))
 
 
+def _of_classes(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """The links (a, b) of texts as links of their classes (id, label)."""
+    side = lambda s: classes.select(F.col("id").alias(s), F.col("label").alias(f"{s}_label"))
+    return links.join(side("a"), "a").join(side("b"), "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+
+
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (id, label) after links (a, b) of labels; a class keeps its smallest label."""
+    merged = components(links).withColumnsRenamed({"id": "label", "component": "merged"})
+    return materialise(classes.join(merged, "label", "left").select("id", F.coalesce("merged", "label").alias("label")), "classes")
+
+
 def _mixed_nodes(cells: DataFrame) -> DataFrame:
     """The members (key, id, label) of nodes that hold several classes and were not compared all with all; equal nodes of several trees once."""
     parts = cells.groupBy("key", "label").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
@@ -287,23 +299,15 @@ def ngram_join(
     once = _compressed(known).join(candidates, "id").dropDuplicates(["id"])
     bodies = materialise(once, "bodies")
 
-    links, labels = None, None
+    known_class = candidates.select("id", F.col("id").alias("label"))
     for d in depths:
-        cells = first.join(candidates, "id").select("id", F.explode(f"d{d}").alias("key"))
-        if labels is None:
-            cells = cells.withColumn("label", F.col("id"))
-        else:
-            cells = cells.join(labels, "id", "left").select("id", "key", F.coalesce("component", "id").alias("label"))
-        new = materialise(_verified(_pairs(cells), bodies, n, threshold), "verified")
-        links = new if links is None else links.union(new).dropDuplicates(["a", "b"])
-        labels = materialise(components(links), "labels")
-
-    label = F.coalesce("component", "id").alias("label")
-    known_class = materialise(candidates.join(labels, "id", "left").select("id", label), "classes")
+        cells = first.join(known_class, "id").select("id", "label", F.explode(f"d{d}").alias("key"))
+        found = materialise(_verified(_pairs(cells), bodies, n, threshold), "verified")
+        known_class = _merged(known_class, _of_classes(found, known_class))
+
     cells = materialise(first.select("id", F.explode(f"d{least}").alias("key")).join(known_class, "id"), "cells")
     joined = materialise(_class_links(materialise(_mixed_nodes(cells), "mixed"), bodies, n, threshold), "joined")
-    merged = components(joined).withColumnsRenamed({"id": "label", "component": "merged"})
-    classes = materialise(known_class.join(merged, "label", "left").select("id", F.coalesce("merged", "label").alias("key")), "classes")
+    classes = _merged(known_class, joined).withColumnRenamed("label", "key")
     several = classes.groupBy("key").count().where("count > 1").select("key")
     n_links = _number_of_links(classes.join(several, "key").withColumn("label", F.col("key")), bodies, n, threshold)
     by_text = classes.join(n_links, "id", "left").select(F.col("id").alias("copy_of"), F.col("key").alias("class"), "n_links")

@@ -220,9 +220,10 @@ def test_ngram_join_finds_pairs_among_many_that_are_only_akin(spark):
         assert got[i]["class_id"] == min(reached)
 
 
-def test_components_of_a_chain(spark):
+@pytest.mark.parametrize("few", [0, 40, 1000])
+def test_components_of_a_chain(spark, few):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (None, 5), (7, 7)], "a long, b long")
-    got = {r["id"]: r["component"] for r in components(links).collect()}
+    got = {r["id"]: r["component"] for r in components(links, few=few).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
 
 
