@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from featloom.llm.decontaminate import contaminated, decontaminate, without_spans
 from featloom.llm.language_id import UNDETERMINED, language_id
-from featloom.llm.line_dedup import line_dedup
+from featloom.llm.line_dedup import LEAST_WORDS, line_dedup
 from featloom.llm.ngram_join import keep_one, ngram_join
 from featloom.llm.packing import pack
 from featloom.workspace import materialise
@@ -28,8 +28,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the runs of lines that stood earlier; a document of which no word is left goes."""
-    cut = line_dedup(docs, result_col="__lines")
+    """Texts without the runs of lines, and passages of 50 words in whole lines, that stood earlier; a document of which no word is left goes."""
+    cut = line_dedup(docs, result_col="__lines", least_words=LEAST_WORDS)
     kept = cut.where(F.col("__lines").isNull() | (F.col("__lines.n_lines") == 0) | (F.col("__lines.n_removed") < F.col("__lines.n_lines")))
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -131,6 +131,20 @@ def test_line_dedup_edges(spark):
     assert got.count() == len(rows) and line_dedup(_docs(spark, rows).limit(0)).count() == 0
 
 
+def test_line_dedup_takes_short_runs_of_many_words(spark):
+    few = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(20))
+    less = " ".join(f"c{i}" for i in range(30)), " ".join(f"d{i}" for i in range(19))
+    one = " ".join("ef"[i % 2] for i in range(60))
+    assert max(map(len, (*few, *less, one))) < 200
+    rows = [(k, "\n".join([f"start {k}", *few, f"next {k}", *less, f"then {k}", one, f"end {k}"]), None) for k in (1, 2)]
+    rows += [(3, f"x\n{few[0]}\ny\n{few[1]}\nz", None), (4, one, None), (5, None, None), (6, "\n".join(few), None)]
+    got = {r["doc_id"]: r for r in line_dedup(_docs(spark, rows), least_words=50).collect()}
+    text = {k: r["text"] for k, r in got.items()}
+    assert text[1] == rows[0][1] and text[3] == rows[2][1] and text[5] is None
+    assert text[2] == "\n".join(["start 2", "next 2", *less, "then 2", "end 2"]) and tuple(got[2]["lines"]) == (9, 3)
+    assert text[4] == "" and text[6] == ""
+
+
 def test_license_scan_cases(spark, odd):
     rows = [
         (1, "Licensed under the Apache License, Version 2.0.", None),

@@ -67,6 +67,13 @@ def test_line_stage_matches_sql(stages):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_line_stage_takes_two_lines_of_fifty_words(spark):
+    passage = "\n".join(" ".join(f"{c}{i}" for i in range(25)) for c in "ab")
+    docs = spark.createDataFrame([(k, f"start {k}\n{passage}\nend {k}", 0) for k in (1, 2)], "doc_id long, text string, n_chars long")
+    got = _rows(corpus_pipeline.line_stage(spark, docs, SF))
+    assert passage in got[1]["text"] and got[2]["text"] == "start 2\nend 2" and got[2]["n_chars"] == 13
+
+
 def test_ngram_stage_matches_sql(stages):
     want = {d for d, r in _on(stages[2], sql.NGRAM_JOIN).items() if r["class_id"] == d}
     assert set(_rows(stages[3])) == want
