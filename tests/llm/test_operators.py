@@ -165,6 +165,18 @@ def test_license_scan_cases(spark, odd):
     assert license_scan(odd).count() == odd.count() and license_scan(odd.limit(0)).count() == 0
 
 
+def test_license_scan_finds_a_notice_among_rarer_words(spark):
+    apache = "Licensed under the Apache License, Version 2.0."
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."
+    prose = "granted charge person binary foundation compliance redistribution obtaining forms conditions"
+    rows = [(1, f"{apache} {mit}", None), (2, f"{prose}. {apache}", None), (3, "Permission is hereby granted, free of charge.", None)]
+    rows += [(10 + k, apache, None) for k in range(20)]  # so the words of the first notice are the common ones
+    got = {r["doc_id"]: r for r in license_scan(_docs(spark, rows)).collect()}
+    assert got[1]["labels"] == ["apache-2.0", "mit"] and got[1]["score"] == 1.0
+    assert got[2]["labels"] == ["apache-2.0"] and got[2]["score"] == 1.0
+    assert got[3]["labels"] == ["mit"] and got[3]["score"] == 5 / 12
+
+
 def test_license_base_places_match_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     phrases = [p.split() for p in ("cc by", "general public license", "all rights reserved")]
