@@ -39,6 +39,7 @@ from featloom.operators.encode import (
 from featloom.operators.rollup import (
     RollupSpec,
     category_columns,
+    category_shares,
     quoted,
     rollup,
     rollup_with_subsets,
@@ -74,10 +75,29 @@ def _shares(df: DataFrame, null_column: bool = False) -> dict[str, list]:
     return found
 
 
-def rollup_everything(df: DataFrame, prefix: str, count_as: str, drop: Sequence[str] = ()) -> RollupSpec:
+def _divided(df: DataFrame, prefix: str, left_out: list[DataFrame] | None, null_column: bool = False, subsets: tuple[str, dict] | None = None) -> dict[str, list]:
+    """``_shares``; the shares of the columns it leaves out are appended to ``left_out`` in long form, with the prefix.
+
+    ``subsets`` (status column, value by prefix) adds the same of the rows with each status. Without a list to append to
+    such a column is an error.
+    """
+    found = _shares(df, null_column)
+    wide = [c for c in categorical_columns(df) if c not in found]
+    if wide and left_out is None:
+        raise ValueError(f"{wide} have more values than a wide table can hold: pass left_out to get their shares in long form")
+    if wide:
+        status, values = subsets or ("", {})
+        parts = {prefix: df} | {p: df.where(F.col(status) == v) for p, v in values.items()}
+        left_out += [category_shares(part, KEY, wide).withColumn("prefix", F.lit(p)) for p, part in parts.items()]
+    return found
+
+
+def rollup_everything(
+    df: DataFrame, prefix: str, count_as: str, drop: Sequence[str] = (), left_out: list[DataFrame] | None = None, subsets: tuple[str, dict] | None = None
+) -> RollupSpec:
     """Five statistics of each number and the share of each category, per applicant."""
     numbers = [c for c in numeric_columns(df) if c not in (*IDS, *drop)]
-    return RollupSpec(KEY, prefix, {c: spec.ALL_SIX for c in numbers}, _shares(df), count_as)
+    return RollupSpec(KEY, prefix, {c: spec.ALL_SIX for c in numbers}, _divided(df, prefix, left_out, subsets=subsets), count_as)
 
 
 # --- canonical set ----------------------------------------------------------------------------
@@ -119,13 +139,13 @@ def bureau_balance(balance: DataFrame) -> DataFrame:
     return OneHot(ends).transform(history)
 
 
-def bureau(loans: DataFrame, balance: DataFrame) -> DataFrame:
+def bureau(loans: DataFrame, balance: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
     df = apply_null_rules(loans, spec.BUREAU_NULLS)
     df = exclude_where(df, F.col("DAYS_ENDDATE_FACT") < F.col("DAYS_CREDIT"))
     df = with_formulas(df, spec.BUREAU_FEATURES)
     loan_features = bureau_balance(balance)
     joined = materialise(df.join(loan_features, LOAN, "left").drop(LOAN), "bureau")
-    everything = rollup_everything(joined, "BURO_", "BURO_COUNT")
+    everything = rollup_everything(joined, "BURO_", "BURO_COUNT", left_out=left_out, subsets=("CREDIT_ACTIVE", spec.BUREAU_SUBSETS))
     # Shares of a loan are averaged over the applicant's loans, nothing else.
     shares = {c for c in loan_features.columns if c.startswith(("STATUS_", "First_status", "Last_status"))}
     measures = {c: (["mean"] if c in shares else f) for c, f in everything.measures.items()}
@@ -137,38 +157,43 @@ def bureau(loans: DataFrame, balance: DataFrame) -> DataFrame:
     )
 
 
-def previous_application(prev: DataFrame) -> DataFrame:
+def previous_application(prev: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
     df = with_missing_count(apply_null_rules(prev, spec.PREVIOUS_NULLS), "prev_missing")
     df = materialise(with_formulas(df, spec.PREVIOUS_FEATURES), "detail")
-    return rollup_with_subsets(df, rollup_everything(df, "PREV_", "PREV_COUNT"), "NAME_CONTRACT_STATUS", spec.PREVIOUS_SUBSETS)
+    everything = rollup_everything(df, "PREV_", "PREV_COUNT", left_out=left_out, subsets=("NAME_CONTRACT_STATUS", spec.PREVIOUS_SUBSETS))
+    return rollup_with_subsets(df, everything, "NAME_CONTRACT_STATUS", spec.PREVIOUS_SUBSETS)
 
 
-def pos_cash(pos: DataFrame) -> DataFrame:
+def pos_cash(pos: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
     df = with_formulas(apply_null_rules(pos, spec.POS_NULLS), spec.POS_FEATURES)
-    return rollup(df, rollup_everything(df, "POS_", "POS_COUNT"))
+    return rollup(df, rollup_everything(df, "POS_", "POS_COUNT", left_out=left_out))
 
 
-def instalments(payments: DataFrame) -> DataFrame:
+def instalments(payments: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
     df = materialise(with_formulas(apply_null_rules(payments, spec.INSTALMENT_NULLS), spec.INSTALMENT_FEATURES), "detail")
-    return rollup(df, rollup_everything(df, "INS_", "INSTAL_COUNT"))
+    return rollup(df, rollup_everything(df, "INS_", "INSTAL_COUNT", left_out=left_out))
 
 
-def card_balance(card: DataFrame) -> DataFrame:
+def card_balance(card: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
     df = with_missing_count(apply_null_rules(card, spec.CARD_NULLS), "card_missing")
     df = materialise(with_formulas(df, spec.CARD_FEATURES), "detail")
-    return rollup(df, rollup_everything(df, "CARD_", "CARD_COUNT"))
+    return rollup(df, rollup_everything(df, "CARD_", "CARD_COUNT", left_out=left_out))
+
 
+def canonical_features(tables: dict[str, DataFrame], left_out: list[DataFrame] | None = None) -> DataFrame:
+    """Wide table, one row per applicant; tables are keyed by their file names.
 
-def canonical_features(tables: dict[str, DataFrame]) -> DataFrame:
-    """Wide table, one row per applicant; tables are keyed by their file names."""
+    ``left_out`` gets the shares of text columns with too many values for it, one long table (KEY, column, value, share,
+    prefix) for each rollup that has such columns.
+    """
     return star_join(
         application(tables["application_train"], tables["application_test"]),
         [
-            bureau(tables["bureau"], tables["bureau_balance"]),
-            previous_application(tables["previous_application"]),
-            pos_cash(tables["POS_CASH_balance"]),
-            instalments(tables["installments_payments"]),
-            card_balance(tables["credit_card_balance"]),
+            bureau(tables["bureau"], tables["bureau_balance"], left_out),
+            previous_application(tables["previous_application"], left_out),
+            pos_cash(tables["POS_CASH_balance"], left_out),
+            instalments(tables["installments_payments"], left_out),
+            card_balance(tables["credit_card_balance"], left_out),
         ],
         KEY,
     )
@@ -203,17 +228,17 @@ def second_application(train: DataFrame, test: DataFrame) -> DataFrame:
     return df.drop(*spec.DROPPED_DOCUMENTS_SECOND)
 
 
-def second_bureau(loans: DataFrame, balance: DataFrame) -> DataFrame:
+def second_bureau(loans: DataFrame, balance: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
     months = rollup(
         balance,
-        RollupSpec(LOAN, "", {"MONTHS_BALANCE": ["min", "max"]}, _shares(balance, null_column=True), "MONTHS_BALANCE_SIZE"),
+        RollupSpec(LOAN, "", {"MONTHS_BALANCE": ["min", "max"]}, _divided(balance, "", None, True), "MONTHS_BALANCE_SIZE"),
     )
     joined = materialise(loans.join(months, LOAN, "left").drop(LOAN), "bureau")
     status = [c for c in months.columns if c.startswith("STATUS_")]
     # The status shares belong to the overall rollup only, so they are computed apart from the subsets.
     main = rollup_with_subsets(
         joined,
-        RollupSpec(KEY, "BURO_", spec.SECOND_BUREAU, _shares(joined, null_column=True)),
+        RollupSpec(KEY, "BURO_", spec.SECOND_BUREAU, _divided(joined, "BURO_", left_out, True)),
         "CREDIT_ACTIVE",
         spec.BUREAU_SUBSETS,
         subset_shares=False,
@@ -221,20 +246,20 @@ def second_bureau(loans: DataFrame, balance: DataFrame) -> DataFrame:
     return main.join(rollup(joined, RollupSpec(KEY, "BURO_", {c: ["mean"] for c in status})), KEY, "left")
 
 
-def second_previous(prev: DataFrame) -> DataFrame:
+def second_previous(prev: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
     df = apply_null_rules(prev, spec.PREVIOUS_SENTINELS)
     df = df.withColumn("APP_CREDIT_PERC", ratio("AMT_APPLICATION", "AMT_CREDIT"))
     return rollup_with_subsets(
         df,
-        RollupSpec(KEY, "PREV_", spec.SECOND_PREVIOUS, _shares(df, null_column=True)),
+        RollupSpec(KEY, "PREV_", spec.SECOND_PREVIOUS, _divided(df, "PREV_", left_out, True)),
         "NAME_CONTRACT_STATUS",
         spec.PREVIOUS_SUBSETS,
         subset_shares=False,
     )
 
 
-def second_pos_cash(pos: DataFrame) -> DataFrame:
-    return rollup(pos, RollupSpec(KEY, "POS_", spec.SECOND_POS, _shares(pos, null_column=True), "POS_COUNT"))
+def second_pos_cash(pos: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
+    return rollup(pos, RollupSpec(KEY, "POS_", spec.SECOND_POS, _divided(pos, "POS_", left_out, True), "POS_COUNT"))
 
 
 def with_payment_features(payments: DataFrame, null_as_zero: bool) -> DataFrame:
@@ -250,9 +275,9 @@ def with_payment_features(payments: DataFrame, null_as_zero: bool) -> DataFrame:
     )
 
 
-def second_instalments(payments: DataFrame) -> DataFrame:
+def second_instalments(payments: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
     df = with_payment_features(payments, null_as_zero=True)
-    return rollup(df, RollupSpec(KEY, "INSTAL_", spec.SECOND_INSTALMENTS, _shares(df, null_column=True), "INSTAL_COUNT"))
+    return rollup(df, RollupSpec(KEY, "INSTAL_", spec.SECOND_INSTALMENTS, _divided(df, "INSTAL_", left_out, True), "INSTAL_COUNT"))
 
 
 def second_card_balance(card: DataFrame) -> DataFrame:
@@ -260,10 +285,10 @@ def second_card_balance(card: DataFrame) -> DataFrame:
     return summarise_all(encoded, KEY, spec.SECOND_CARD, "CC_", [PREVIOUS], "CC_COUNT")
 
 
-def second_features(tables: dict[str, DataFrame], rows: int | None = None) -> DataFrame:
+def second_features(tables: dict[str, DataFrame], rows: int | None = None, left_out: list[DataFrame] | None = None) -> DataFrame:
     """``rows`` limits every table to its first rows in key order, for debugging.
 
-    The other columns break ties, so the sample is the same on every run.
+    The other columns break ties, so the sample is the same on every run. ``left_out`` as in the canonical set.
     """
     keys = {"bureau": LOAN, "bureau_balance": LOAN}
 
@@ -275,10 +300,10 @@ def second_features(tables: dict[str, DataFrame], rows: int | None = None) -> Da
     return star_join(
         second_application(t["application_train"], t["application_test"]),
         [
-            second_bureau(t["bureau"], t["bureau_balance"]),
-            second_previous(t["previous_application"]),
-            second_pos_cash(t["POS_CASH_balance"]),
-            second_instalments(t["installments_payments"]),
+            second_bureau(t["bureau"], t["bureau_balance"], left_out),
+            second_previous(t["previous_application"], left_out),
+            second_pos_cash(t["POS_CASH_balance"], left_out),
+            second_instalments(t["installments_payments"], left_out),
             second_card_balance(t["credit_card_balance"]),
         ],
         KEY,

@@ -500,6 +500,21 @@ def joined_sql(first: str, *others: str) -> str:
     return f"SELECT * FROM ({REGISTRY[first].sql}) {joins}"
 
 
+@query(
+    "wide_text_shares",
+    f"""
+WITH p AS ({ROLES['POS_CASH_balance']}), n AS (SELECT SK_ID_CURR, count(*) AS n FROM p GROUP BY SK_ID_CURR)
+SELECT SK_ID_CURR, 'POS_' AS prefix, 'NAME_GOODS' AS "column", 'goods ' || SK_ID_PREV AS value, round(count(*)::DOUBLE / any_value(n), 6) AS share
+FROM p JOIN n USING (SK_ID_CURR) GROUP BY SK_ID_CURR, SK_ID_PREV""",
+)
+def wide_text_shares(spark, folder):
+    """What the canonical POS rollup leaves out: the shares of a text column of more than 1,000 values."""
+    pos = credit_tables(spark, folder)["POS_CASH_balance"].withColumn("NAME_GOODS", F.concat(F.lit("goods "), F.col("SK_ID_PREV")))
+    left_out: list = []
+    credit.pos_cash(pos, left_out)
+    return left_out[0].withColumn("share", F.round("share", 6))
+
+
 @query("canonical_features", joined_sql("credit_application", "credit_bureau", "credit_previous", "credit_pos", "credit_instalments", "credit_card"))
 def canonical_features(spark, folder):
     return published(credit.canonical_features(credit_tables(spark, folder)))

@@ -7,7 +7,7 @@ from featloom.operators.encode import OneHot, narrow_text_columns
 from featloom.operators.metrics import roc_auc
 from featloom.operators.rank import exact_rank, mid_ranks, top_k
 from featloom.operators.rollup import RollupSpec, category_columns, category_shares, rollup
-from featloom.plans.credit import _shares
+from featloom.plans.credit import _shares, rollup_everything
 
 
 def test_rules_of_one_column_add_up(spark):
@@ -34,6 +34,17 @@ def test_more_categories_than_columns(spark):
     assert long.where("k = 0 AND column = 'few'").count() == 3
 
 
+def test_wide_text_of_a_feature_set_is_never_lost(spark):
+    df = spark.range(3_000).selectExpr("id % 10 AS SK_ID_CURR", "concat('name ', id) AS name", "CAST(id % 2 AS string) AS few", "CAST(id AS double) AS x")
+    with pytest.raises(ValueError, match="name"):
+        rollup_everything(df, "P_", "N")
+    left = []
+    got = rollup_everything(df, "P_", "N", left_out=left, subsets=("few", {"ONE_": "1"}))
+    assert list(got.shares) == ["few"] and len(left) == 2
+    assert left[0].columns == ["SK_ID_CURR", "column", "value", "share", "prefix"]
+    assert [(d.count(), d.agg({"share": "sum"}).first()[0], d.first()["prefix"]) for d in left] == [(3_000, pytest.approx(10), "P_"), (1_500, pytest.approx(5), "ONE_")]
+
+
 def test_null_groups_stay(spark):
     df = spark.createDataFrame([(None, 1, 0.1, 0), (None, 2, 0.4, 1), ("a", 3, 0.9, 0), ("a", 4, 0.2, 1)], "g string, k long, s double, y int")
     assert {r["g"]: r["auc"] for r in roc_auc(df, "y", "s", ["g"]).collect()} == {None: 1.0, "a": 0.0}
