@@ -34,7 +34,7 @@ _SEEN = np.where(np.arange(256) >= 128, np.arange(256), np.where(_LETTER, np.ara
 class Training:
     """Bounds and settings of the fit.
 
-    rows: most labelled rows that are used (those with the smallest hash of their id); row_parts, part_chars: pieces that are
+    rows: most labelled rows that are used (those with the smallest hash of their id and text); row_parts, part_chars: pieces that are
     taken of each, in equal steps from its first to its last character, and their length (a shorter text is used whole);
     window: bytes in a window; filters: per width; epochs, batch, rate, decay: of the Adam optimiser.
     """
@@ -165,18 +165,21 @@ def _spread_parts(text: Column, settings: Training) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", settings: Training = Training()) -> Network | None:
-    """Train on at most ``settings.rows`` labelled rows; which rows depends only on their ids.
+    """Train on at most ``settings.rows`` labelled rows; which rows depends only on their ids and texts, so rows
+    without an id or with a repeated one have places of their own.
 
     The rows are first thinned by hash to little more than that number, so what the tasks send to the driver does
     not grow with the table.
     """
     labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     share = min(1.0, (1.2 * settings.rows + 200) / max(labelled.count(), 1))
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     rows = (
         labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
-        .where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
-        .select("id", _spread_parts(F.col("text"), settings).alias("text"), "label")
-        .orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id", "text", "label")
+        .select("id", "text", "label", place.alias("place"))
+        .where(F.col("place") <= int(share * (1 << 30)))
+        .select("id", _spread_parts(F.col("text"), settings).alias("text"), "label", "place")
+        .orderBy("place", "id", "text", "label")
         .limit(settings.rows)
         .toPandas()
     )

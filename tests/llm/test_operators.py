@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from featloom.llm.decontaminate import contaminated, decontaminate, without_spans
 from featloom.llm.graph import components
-from featloom.llm.language_id import language_id
+from featloom.llm.language_id import Training, fit, language_id
 from featloom.llm.license_scan import license_scan
 from featloom.llm.line_dedup import line_dedup
 from featloom.llm.line_quality import line_quality
@@ -117,6 +117,12 @@ def test_language_id_edges(spark, odd):
     assert language_id(odd.limit(0)).count() == 0
 
 
+def test_language_training_does_not_prefer_rows_without_an_id(spark):
+    rows = [(None, f"the house and the garden {k}", "en") for k in range(300)] + [(k, f"das haus und der garten {k}", "de") for k in range(300)]
+    net = fit(_docs(spark, rows), settings=Training(rows=100, epochs=1))
+    assert list(net.labels) == ["de", "en"]
+
+
 def test_line_dedup_edges(spark):
     run = "one line\nanother line\na third line"
     long = "a long line " * 30
