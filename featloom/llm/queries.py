@@ -15,7 +15,9 @@ from featloom.llm.ngram_join import ngram_join
 from featloom.llm.packing import pack
 from featloom.llm.substring_dedup import substring_dedup
 from featloom.llm.token_counts import context_limits, length_histogram
+from featloom.llm.token_file import read_documents, write_token_file
 from featloom.llm.url_filter import url_filter
+from featloom.workspace import scratch_path
 
 #: The rules of the query: host, path, verdict.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -85,7 +87,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_quality, op3_language_id, op4_line_dedup, op5_license_scan, op6_token_counts, op7_ngram_join, op8_packing, op9_decontaminate, op10_url_filter)}
+def op12_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-file")
+    write_token_file(_table(spark, sf_dir, "documents"), path)
+    rows = read_documents(spark, path)
+    return rows.select(F.col("key").cast("long").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_quality, op3_language_id, op4_line_dedup, op5_license_scan, op6_token_counts, op7_ngram_join, op8_packing, op9_decontaminate, op10_url_filter, op12_token_file)}
 ORACLE_SQL = {
     "op1_substring_dedup": sql.SUBSTRING_DEDUP,
     "op2_line_quality": sql.LINE_QUALITY,

@@ -59,3 +59,42 @@ def _ranks(ids: dict[str, int], special: set[str]) -> dict[bytes, int]:
 def encoder(path: str) -> Encoder:
     """One encoder for each worker process and file."""
     return Encoder(path)
+
+
+class WordEncoder:
+    """Ids as ``tokenizers`` gives them for a vocabulary whose tokens never hold or cross white space.
+
+    A text is cut at ASCII blanks; each piece is encoded by ``tokenizers``, short pieces once (at most
+    ``PIECES`` are remembered), so the ids are those of the whole text. ``width`` is the bytes of an id.
+    """
+
+    PIECES = 1 << 20
+    SHORT = 48
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.full = Tokenizer.from_file(path)
+        self.width = 2 if self.full.get_vocab_size() <= 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}")
+        self.known: dict[bytes, bytes] = {}
+
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        found = self.full.encode_batch([p.decode() for p in pieces], add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, ``width`` bytes little-endian each."""
+        cut = [t.split() for t in texts]
+        if len(self.known) > self.PIECES:
+            self.known.clear()
+        missing = list({p for pieces in cut for p in pieces if p not in self.known})
+        here = dict(zip(missing, self._encode(missing)))
+        self.known.update((p, i) for p, i in here.items() if len(p) <= self.SHORT)
+        known = self.known
+        return [b"".join([known[p] if p in known else here[p] for p in pieces]) for pieces in cut]
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
