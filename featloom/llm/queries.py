@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.llm import sql
+from featloom.llm.alignment import align, link_scores, pair_counts
 from featloom.llm.decontaminate import contaminated, decontaminate
 from featloom.llm.language_id import held_out, language_id
 from featloom.llm.license_scan import license_scan
@@ -17,7 +18,7 @@ from featloom.llm.substring_dedup import substring_dedup
 from featloom.llm.token_counts import context_limits, length_histogram
 from featloom.llm.token_file import read_documents, write_token_file
 from featloom.llm.url_filter import url_filter
-from featloom.workspace import scratch_path
+from featloom.workspace import materialise, scratch_path
 
 #: The rules of the query: host, path, verdict.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -94,7 +95,14 @@ def op12_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").cast("long").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_quality, op3_language_id, op4_line_dedup, op5_license_scan, op6_token_counts, op7_ngram_join, op8_packing, op9_decontaminate, op10_url_filter, op12_token_file)}
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = materialise(align(_table(spark, sf_dir, "documents")), "aligned")
+    scored = link_scores(aligned, pair_counts(aligned))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_quality, op3_language_id, op4_line_dedup, op5_license_scan, op6_token_counts, op7_ngram_join, op8_packing, op9_decontaminate, op10_url_filter, op12_token_file, op13_alignment)}
 ORACLE_SQL = {
     "op1_substring_dedup": sql.SUBSTRING_DEDUP,
     "op2_line_quality": sql.LINE_QUALITY,

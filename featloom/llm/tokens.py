@@ -42,6 +42,10 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if self.special.search(text):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.plain_ids(text)
+
+    def plain_ids(self, text: str) -> np.ndarray:
+        """Ids of a text in which special tokens' strings are ordinary text."""
         coder = self.runs if _NEIGHBOURS.search(text) else self.plain
         return np.array(coder.encode_ordinary(text), np.uint32)
 
