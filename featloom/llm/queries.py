@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from featloom.llm import sql
 from featloom.llm.alignment import align, link_scores, pair_counts
+from featloom.llm.conversation_trie import prefix_trie, share_heads, turn_sequences, with_end_digests
 from featloom.llm.decontaminate import contaminated, decontaminate
 from featloom.llm.language_id import held_out, language_id
 from featloom.llm.license_scan import license_scan
@@ -88,6 +89,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"), rules)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = materialise(turn_sequences(_table(spark, sf_dir, "conversations")), "turns")
+    conv = F.col("conv_id")
+    rebuilt = share_heads(sequences, conv - conv % 100, (F.crc32(conv.cast("string")) % 6).cast("int"), 5)
+    nodes = with_end_digests(prefix_trie(rebuilt))
+    numbers = ("depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")
+    return nodes.select("conv_id", *(F.col(c).cast("long").alias(c) for c in numbers), "ends_sha256")
+
+
 def op12_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-file")
     write_token_file(_table(spark, sf_dir, "documents"), path)
@@ -102,7 +112,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_quality, op3_language_id, op4_line_dedup, op5_license_scan, op6_token_counts, op7_ngram_join, op8_packing, op9_decontaminate, op10_url_filter, op12_token_file, op13_alignment)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_line_quality, op3_language_id, op4_line_dedup, op5_license_scan, op6_token_counts, op7_ngram_join, op8_packing, op9_decontaminate, op10_url_filter, op11_conversation_trie, op12_token_file, op13_alignment)}
 ORACLE_SQL = {
     "op1_substring_dedup": sql.SUBSTRING_DEDUP,
     "op2_line_quality": sql.LINE_QUALITY,
@@ -110,4 +120,5 @@ ORACLE_SQL = {
     "op7_ngram_join": sql.NGRAM_JOIN,
     "op9_decontaminate": sql.DECONTAMINATE,
     "op10_url_filter": sql.URL_FILTER,
+    "op11_conversation_trie": sql.CONVERSATION_TRIE,
 }

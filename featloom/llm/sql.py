@@ -106,3 +106,28 @@ fit AS (
   FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN fit USING (page_id)
 """
+
+#: CRC-32 of a text's ASCII codes, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({0}) + 1), lambda i: unicode({0}[i]))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda s, z: xor(s >> 1, (s & 1) * 3988292384))), 4294967295)"""
+
+CONVERSATION_TRIE = f"""
+WITH turn AS (
+  SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, length(coalesce(text, '')), role, text) AS k FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT conv_id, list(x ORDER BY k) AS xs FROM turn GROUP BY conv_id),
+head AS (SELECT conv_id, xs, ({_CRC.format("(conv_id::VARCHAR)")} % 6)::INT AS h FROM conv),
+rebuilt AS (SELECT a.conv_id, list_concat(coalesce(b.xs[1:a.h], []), coalesce(a.xs[a.h + 1:], [])) AS xs FROM head a LEFT JOIN conv b ON b.conv_id = a.conv_id - a.conv_id % 100),
+step AS (SELECT conv_id, d, xs[1:d] AS p, len(xs) = d AS ends FROM (SELECT conv_id, xs, unnest(range(0, len(xs) + 1)) AS d FROM rebuilt)),
+node AS (
+  SELECT min(conv_id) AS conv_id, d, p, count(*) AS n, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS e,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * length(p[d].t) END AS s
+  FROM step GROUP BY d, p),
+kids AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+up AS (SELECT node.d AS own_d, unnest(range(0, node.d + 1)) AS d, node.p AS own_p, s, n_children IS NULL AS leaf FROM node LEFT JOIN kids ON node.d = kids.d AND node.p = kids.p),
+sub AS (SELECT d, own_p[1:d] AS p, sum(s) AS saved, count(*) FILTER (WHERE leaf) AS leaves FROM up GROUP BY ALL)
+SELECT node.conv_id, node.d::BIGINT AS depth, above.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  leaves AS n_leaves, saved::BIGINT AS saved_tokens, sha256(node.e) AS ends_sha256
+FROM node JOIN sub ON node.d = sub.d AND node.p = sub.p LEFT JOIN kids ON node.d = kids.d AND node.p = kids.p
+LEFT JOIN node above ON above.d = node.d - 1 AND above.p = node.p[1:node.d - 1]
+"""
