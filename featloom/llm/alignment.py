@@ -14,10 +14,11 @@ has a bound that does not grow with the data and may be sent to every worker.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from hashlib import sha256
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,21 +28,31 @@ from pyspark.sql import functions as F
 from featloom.llm import blocks, tokens
 from featloom.workspace import materialise
 
+#: How the piece model writes a blank.
+BLANK = "\u2581"
 _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 #: Ids of side B are below this; a pair is packed as ``a * SHIFT + b``.
 SHIFT = 1 << 20
 
 
+#: Values of the driving list between two that are searched first, to guess the places of the rest.
+STRIDE = 64
+
+
 def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     """For each value of ``short`` the number of values of ``long`` below it; both rise strictly.
 
-    The search for the i-th value starts where the i-th share of ``long`` ends, doubles its steps up or down until it
-    has passed the value, and halves the last step.
+    Every ``STRIDE``-th value is searched first; the search for a value between two of them starts at its share of the way between
+    their places (for a short list: at its share of ``long``), doubles its steps up or down until it has passed the value, and halves the last step.
     """
     n, m = len(short), len(long)
     if not n or not m:
         return np.zeros(n, np.int64)
-    guess = np.arange(n, dtype=np.int64) * m // n
+    if n <= STRIDE:
+        guess = np.arange(n, dtype=np.int64) * m // n
+    else:
+        some = np.append(np.arange(0, n - 1, STRIDE), n - 1)
+        guess = np.minimum(np.interp(short, short[some], gallop(short[some], long)).astype(np.int64), m - 1)
     up = long[guess] < short
     # The answer lies in [low, high]: everything before low is below the value, nothing from high on.
     low, high = np.where(up, guess + 1, 0), np.where(up, m, guess)
@@ -50,12 +61,11 @@ def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
         rising = up[active]
         at = np.where(rising, guess[active] + step, guess[active] - step)
         inside = (at >= 0) & (at < m)
-        below = np.zeros(len(active), bool)
-        below[inside] = long[at[inside]] < short[active[inside]]
-        moved_low, moved_high = active[inside & below], active[inside & ~below]
-        low[moved_low] = at[inside & below] + 1
-        high[moved_high] = at[inside & ~below]
-        active = active[inside & (below == rising)]
+        active, at, rising = active[inside], at[inside], rising[inside]
+        below = long[at] < short[active]
+        low[active[below]] = at[below] + 1
+        high[active[~below]] = at[~below]
+        active = active[below == rising]
         step *= 2
     open_ = np.flatnonzero(low < high)
     while len(open_):
@@ -83,14 +93,13 @@ class ByteSide:
 
     def __init__(self, path: str):
         self.coder = tokens.encoder(path)
-        ids = {t: i for t, i in self.coder.full.get_vocab(with_added_tokens=False).items()}
-        table = tokens._ranks(ids, set())
+        table = tokens._ranks(self.coder.full.get_vocab(with_added_tokens=False), set())
         self.bytes_of = [b""] * (max(table.values()) + 1)
         for raw, i in table.items():
             self.bytes_of[i] = raw
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [self.coder.plain_ids(" " + t) for t in texts]
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [self.coder.runs.encode_ordinary(" " + t) for t in texts]
 
 
 class PieceSide:
@@ -100,19 +109,66 @@ class PieceSide:
         import sentencepiece
 
         self.coder = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.coder.id_to_piece(i) for i in range(self.coder.get_piece_size())]
         self.bytes_of = []
-        for i in range(self.coder.get_piece_size()):
-            piece = self.coder.id_to_piece(i)
+        for piece in pieces:
             byte = _BYTE_PIECE.fullmatch(piece)
-            self.bytes_of.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(i, np.uint32) for i in self.coder.encode(texts, num_threads=1)]
+            self.bytes_of.append(bytes([int(byte[1], 16)]) if byte else piece.replace(BLANK, " ").encode())
+        #: Pieces begin with their blanks, so no piece reaches over the blank between two words.
+        self.by_word = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in pieces)
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return self.coder.encode(texts, num_threads=1)
+
+
+class Coders:
+    """Both sides together. Neither side's tokens reach over a single blank between two characters that are no white space, so
+    the stretches between such blanks are encoded each by itself, and short ones once (about ``STRETCHES`` are remembered)."""
+
+    STRETCHES = 400_000
+    SHORT = 32
+    CUT = re.compile(r"(?<=\S) (?=\S)")
+
+    def __init__(self, byte_path: str, piece_path: str):
+        self.a, self.b = ByteSide(byte_path), PieceSide(piece_path)
+        self.width = 2 if max(len(self.a.bytes_of), len(self.b.bytes_of)) <= 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}")
+        self.sizes = [np.array([len(x) for x in side.bytes_of], np.int64) for side in (self.a, self.b)]
+        self.known = tokens.Remembered(self.STRETCHES)
+
+    def _cut(self, text: str) -> list[str]:
+        if not self.b.by_word:
+            return [text]
+        plain = not (text[0].isspace() or text[-1].isspace() or tokens._NEIGHBOURS.search(text))
+        return text.split(" ") if plain else self.CUT.split(text)
+
+    def _learn(self, missing: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        out, of_a, of_b = {}, self.a.bytes_of, self.b.bytes_of
+        for t, a, b in zip(missing, self.a.ids(missing), self.b.ids(missing)):
+            same = b"".join([of_a[i] for i in a]) == b" " + t.encode() == b"".join([of_b[i] for i in b])
+            out[t] = (array(self.kind.char, a).tobytes(), array(self.kind.char, b).tobytes()) if same else None
+        return out
+
+    def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(A ids, B ids) of each text; none where a side's tokens don't give back a blank and the text."""
+        cut = [self._cut(t) if t else [] for t in texts]
+        self.known.tidy()
+        known = self.known.new
+        here = self._learn(self.known.recall({s for stretches in cut for s in stretches if s not in known}))
+        apart = {s: v for s, v in here.items() if v is None or len(s) > self.SHORT}
+        known.update((s, v) for s, v in here.items() if s not in apart)
+        out = []
+        for stretches in cut:
+            both = [apart[s] if s in apart else known[s] for s in stretches] if apart else [known[s] for s in stretches]
+            if None in both:
+                both = []
+            out.append(tuple(np.frombuffer(b"".join([x[k] for x in both]), self.kind) for k in (0, 1)))
+        return out
 
 
 @lru_cache(maxsize=2)
-def sides(byte_path: str, piece_path: str) -> tuple[ByteSide, PieceSide]:
-    return ByteSide(byte_path), PieceSide(piece_path)
+def coders(byte_path: str, piece_path: str) -> Coders:
+    return Coders(byte_path, piece_path)
 
 
 def possible_pairs(a: list[bytes], b: list[bytes]) -> int:
@@ -126,67 +182,71 @@ def possible_pairs(a: list[bytes], b: list[bytes]) -> int:
     return longer(of_a, of_b) + longer(of_b, of_a) + sum(n * of_b.get(raw, 0) for raw, n in of_a.items())
 
 
-_ALIGNED = "id {kind}, n_a long, n_b long, a_ids binary, b_ids binary, a_to binary, b_to binary"
+_ALIGNED = "id {kind}, n_a long, n_b long, a_ids binary, b_ids binary, a_cut binary, b_cut binary"
 
 
-def _align_chunk(texts: list[str], a_side: ByteSide, b_side: PieceSide):
-    """For each text (ids of A, ids of B, A tokens up to each common end, B tokens up to it)."""
-    plain = [t for t in texts if t]
-    pairs = []
-    for text, a, b in zip(plain, a_side.ids(plain), b_side.ids(plain)):
-        whole = b" " + text.encode()
-        same = b"".join(map(a_side.bytes_of.__getitem__, a.tolist())) == whole == b"".join(map(b_side.bytes_of.__getitem__, b.tolist()))
-        pairs.append((a, b) if same else (a[:0], b[:0]))
-    n_a, n_b = (np.array([len(p[k]) for p in pairs], np.int64) for k in (0, 1))
-    all_a, all_b = (np.concatenate([np.zeros(0, np.uint32), *(p[k] for p in pairs)]) for k in (0, 1))
+def _align_chunk(texts: list[str], both: Coders) -> list[tuple[np.ndarray, ...]]:
+    """For each text (ids of A, ids of B, which A tokens end a group, which B tokens do)."""
+    pairs = both.ids(texts)
+    all_ids = [np.concatenate([np.zeros(0, both.kind), *(p[k] for p in pairs)]) for k in (0, 1)]
     # Offsets run on over the documents of the chunk, so one search serves all of them.
-    ends_a, ends_b = (np.cumsum(size[ids]) for size, ids in ((_sizes(a_side), all_a), (_sizes(b_side), all_b)))
-    at_a, at_b = common_ends(ends_a, ends_b)
-    from_a, from_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
-    cuts = np.searchsorted(at_a, np.append(from_a, len(all_a)))
-    found = iter([(a, b, at_a[lo:hi] + 1 - fa, at_b[lo:hi] + 1 - fb) for (a, b), lo, hi, fa, fb in zip(pairs, cuts[:-1], cuts[1:], from_a, from_b)])
-    none = np.zeros(0, np.uint32)
-    return [next(found) if t else (none, none, none, none) for t in texts]
-
-
-def _sizes(side) -> np.ndarray:
-    if not hasattr(side, "sizes"):
-        side.sizes = np.array([len(x) for x in side.bytes_of], np.int64)
-    return side.sizes
+    found = common_ends(*(np.cumsum(size[ids]) for size, ids in zip(both.sizes, all_ids)))
+    marks = [np.zeros(len(ids), bool) for ids in all_ids]
+    for mark, at in zip(marks, found):
+        mark[at] = True
+    a_from, b_from = (np.cumsum([0, *(len(p[k]) for p in pairs)]) for k in (0, 1))
+    return [(a, b, marks[0][a_from[i] : a_from[i + 1]], marks[1][b_from[i] : b_from[i + 1]]) for i, (a, b) in enumerate(pairs)]
 
 
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_vocabulary: str | None = None, piece_model: str | None = None) -> DataFrame:
     """Token ids of both sides and the common ends of every document.
 
-    Columns: ``id_col``, ``n_a``, ``n_b``, and as binary little-endian unsigned 32-bit numbers ``a_ids``, ``b_ids``, ``a_to``, ``b_to``:
-    group g takes the A tokens from ``a_to[g-1]`` (0 for the first) to ``a_to[g]``, and the B tokens alike. A null or empty
+    Columns: ``id_col``, ``n_a``, ``n_b``, the ids ``a_ids``, ``b_ids`` (binary, little-endian unsigned, 16 bit if both vocabularies fit, else 32) and
+    ``a_cut``, ``b_cut``, a bit for each token, the lowest first, set where a group ends. A null or empty
     text, and one whose tokens on either side don't give back a blank and the text, has no tokens. Every row is aligned by itself, so repeated
     rows and rows without an id are kept; other columns are not read. An empty table gives no rows.
     """
     paths = byte_vocabulary or tokens.vocabulary_path(), piece_model or tokens.vocabulary_path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_side, b_side = sides(*paths)
+        both = coders(*paths)
         for batch in batches:
             for chunk in blocks.chunks(batch.column(1)):
-                rows = _align_chunk([chunk.text(r).decode() for r in range(chunk.rows)], a_side, b_side)
+                rows = _align_chunk([chunk.text(r).decode() for r in range(chunk.rows)], both)
                 counts = [pa.array([len(r[k]) for r in rows], pa.int64()) for k in (0, 1)]
-                lists = [pa.array([r[k].astype("<u4").tobytes() for r in rows], pa.binary()) for k in range(4)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.low, chunk.rows), *counts, *lists], names=["id", "n_a", "n_b", "a_ids", "b_ids", "a_to", "b_to"])
+                ids = [pa.array([r[k].tobytes() for r in rows], pa.binary()) for k in (0, 1)]
+                cuts = [pa.array([np.packbits(r[k], bitorder="little").tobytes() for r in rows], pa.binary()) for k in (2, 3)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.low, chunk.rows), *counts, *ids, *cuts], names=["id", "n_a", "n_b", "a_ids", "b_ids", "a_cut", "b_cut"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     return source.mapInArrow(run, _ALIGNED.format(kind=kind)).withColumnRenamed("id", id_col)
 
 
-def _u4(value) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), "<u4").astype(np.int64)
+class _Aligned(NamedTuple):
+    """A row of ``align``: the ids, and for each group the tokens up to its end."""
+
+    a: np.ndarray
+    b: np.ndarray
+    a_to: np.ndarray
+    b_to: np.ndarray
+
+    @property
+    def links(self) -> np.ndarray:
+        """The linked id pairs, packed."""
+        return self.a[self.a_to - 1] * SHIFT + self.b[self.b_to - 1]
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[_Aligned]:
+    """The rows of a batch whose first columns are those of ``align`` after the id."""
+    for n_a, n_b, a, b, a_cut, b_cut in zip(*(batch.column(k) for k in range(6))):
+        n = n_a.as_py(), n_b.as_py()
+        ids = [np.frombuffer(x.as_buffer(), f"<u{len(x.as_buffer()) // k if k else 2}").astype(np.int64) for x, k in zip((a, b), n)]
+        to = [np.flatnonzero(np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=k, bitorder="little")) + 1 for x, k in zip((a_cut, b_cut), n)]
+        yield _Aligned(*ids, *to)
 
 
-def _linked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """The packed id pairs of each row's links; columns 0 to 3 are ids and common ends."""
-    for a, b, a_to, b_to in zip(*(batch.column(k) for k in range(4))):
-        yield _u4(a)[_u4(a_to) - 1] * SHIFT + _u4(b)[_u4(b_to) - 1]
+_ROW = ("n_a", "n_b", "a_ids", "b_ids", "a_cut", "b_cut")
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -195,12 +255,12 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, many = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            fresh, n = np.unique(np.concatenate([np.zeros(0, np.int64), *_linked(batch)]), return_counts=True)
+            fresh, n = np.unique(np.concatenate([np.zeros(0, np.int64), *(r.links for r in _rows(batch))]), return_counts=True)
             both, where = np.unique(np.concatenate([seen, fresh]), return_inverse=True)
             seen, many = both, np.bincount(where, np.concatenate([many, n]), len(both)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(seen // SHIFT), pa.array(seen % SHIFT), pa.array(many)], names=["a", "b", "links"])
 
-    parts = aligned.select("a_ids", "b_ids", "a_to", "b_to").mapInArrow(run, "a long, b long, links long")
+    parts = aligned.select(*_ROW).mapInArrow(run, "a long, b long, links long")
     counted = materialise(parts.groupBy("a", "b").agg(F.sum("links").alias("links")), "pairs")
     best = counted.groupBy("b").agg(F.max("links").alias("best"))
     return counted.join(best, "b").select("a", "b", "links", "best")
@@ -212,8 +272,8 @@ def link_scores(aligned: DataFrame, counts: DataFrame, id_col: str = "doc_id", b
 
     ``counts`` is taken to the driver and sent out: it has at most ``possible_pairs`` rows, which is checked.
     """
-    a_side, b_side = sides(byte_vocabulary or tokens.vocabulary_path(), piece_model or tokens.vocabulary_path("piece_bpe_32k.model"))
-    bound = possible_pairs(a_side.bytes_of, b_side.bytes_of)
+    both = coders(byte_vocabulary or tokens.vocabulary_path(), piece_model or tokens.vocabulary_path("piece_bpe_32k.model"))
+    bound = possible_pairs(both.a.bytes_of, both.b.bytes_of)
     table = counts.select((F.col("a") * SHIFT + F.col("b")).alias("pair"), "links", "best").limit(bound + 1).toArrow()
     if table.num_rows > bound:
         raise ValueError(f"{table.num_rows} pairs, but the vocabularies allow {bound}; are the counts of other vocabularies?")
@@ -232,16 +292,15 @@ def link_scores(aligned: DataFrame, counts: DataFrame, id_col: str = "doc_id", b
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                own = [np.searchsorted(pairs, p) for p in _linked(part.select(part.schema.names[3:]))]
-                groups = []
-                for a, b, a_to, b_to in zip(*(part.column(k) for k in range(3, 7))):
-                    groups.append(";".join(map("|".join, zip(text(_u4(a), _u4(a_to)), text(_u4(b), _u4(b_to))))))
+                rows = list(_rows(part.select(part.schema.names[1:])))
+                own = [np.searchsorted(pairs, r.links) for r in rows]
+                groups = [";".join(map("|".join, zip(text(r.a, r.a_to), text(r.b, r.b_to)))) for r in rows]
                 size = pa.array([len(x) for x in own], pa.int64())
                 n_best = pa.array([int((links[x] == best[x]).sum()) for x in own], pa.int64())
                 total = pa.array([int(links[x].sum()) for x in own], pa.int64())
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(3)), size, size, n_best, total, pa.array(groups, pa.string())], names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
     kind = aligned.schema[id_col].dataType.simpleString()
-    source = aligned.select(F.col(id_col).alias("id"), "n_a", "n_b", "a_ids", "b_ids", "a_to", "b_to")
+    source = aligned.select(F.col(id_col).alias("id"), *_ROW)
     scored = source.mapInArrow(run, f"id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
     return scored.withColumnRenamed("id", id_col)

@@ -7,8 +7,9 @@ dealt out by the Karmarkar-Karp differencing method: every piece starts as a
 partial partition with one loaded window; the two partitions with the largest
 imbalance are merged, the heaviest window of one with the lightest of the other,
 until one partition is left. If its heaviest window exceeds the capacity, the
-number of windows is raised by one and the block is dealt out again. The rest
-of a partition, less than a block, is cut into windows whose sizes are powers of two.
+number of windows is raised by one and the block is dealt out again. The last pieces
+of a partition are dealt out alike, however few they are, into the whole windows they fill; the tokens beyond those
+windows (and a few a window, so that near-equal loads fit) are cut into windows whose sizes are powers of two.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from featloom.llm import blocks, tokens
 
 CAPACITY = 1024
 END = 0
+#: Tokens a window that the last block of a task leaves free, tried in this order, so that its loads fit into as many windows as it fills.
+SLACKS = (8, 32, 128)
 
 
 def differencing(sizes: np.ndarray, windows: int) -> list[list[int]]:
@@ -102,12 +105,37 @@ class _Packer:
         self.waiting, self.size = [], 0
 
     def finish(self) -> None:
-        """The last pieces in order, cut into full windows and then into powers of two."""
+        """Deals out the last, smaller block as well; only what does not fill a window is cut into powers of two."""
+        whole = self.size // self.capacity
+        for slack in SLACKS if whole else ():
+            head, tail = self._split(whole * (self.capacity - slack))
+            dealt = balanced(np.array([len(p[2]) for p in head]), self.capacity)
+            if len(dealt) == whole:
+                break
+        if whole:
+            for own in dealt:
+                self._emit([head[i] for i in own])
+            self.waiting, self.size = tail, sum(len(p[2]) for p in tail)
+        self._cut()
+
+    def _split(self, size: int) -> tuple[list[tuple], list[tuple]]:
+        """The waiting pieces up to ``size`` tokens, and the rest."""
+        head, tail = [], []
+        for doc, start, ids, total in self.waiting:
+            take = min(size, len(ids))
+            size -= take
+            if take:
+                head.append((doc, start, ids[:take], total))
+            if take < len(ids):
+                tail.append((doc, start + take, ids[take:], total))
+        return head, tail
+
+    def _cut(self) -> None:
         left, room, open_ = self.size, 0, []
         for doc, start, ids, total in self.waiting:
             while len(ids):
                 if not room:
-                    room = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
+                    room = min(self.capacity, 1 << (left.bit_length() - 1))
                     left -= room
                 take = min(room, len(ids))
                 open_.append((doc, start, ids[:take], total))

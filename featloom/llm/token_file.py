@@ -39,7 +39,7 @@ from featloom.operators.rank import running_totals
 from featloom.workspace import materialise
 
 HEADER = 256
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 END = 1
 _U = np.uint64
 

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from featloom.llm import tokens
-from featloom.llm.alignment import SHIFT, align, common_ends, gallop, link_scores, pair_counts, possible_pairs, sides
+from featloom.llm.alignment import SHIFT, align, coders, common_ends, gallop, link_scores, pair_counts, possible_pairs
 from featloom.llm.queries import op13_alignment
 
 TEXTS = [
-    None, "", " ", "a", "plain words here", "  two  blanks\n\n\tand more ", "naïve — 日本語 👩‍👩‍👧 text", "a<|endoftext|>b </s> <0x41>", "▁ mark", "x" * 3000, "é" * 50, "\x00 nul \x1f", "word " * 5000, "plain words here"
+    None, "", " ", "a", "plain words here", "  two  blanks\n\n\tand more ", "naïve — 日本語 👩‍👩‍👧 text", "a<|endoftext|>b </s> <0x41>", "▁ mark", "x" * 3000, "é" * 50, "\x00 nul \x1f", "word " * 5000, "plain words here", " a \t  b\n c  d\x1c e\u2003f g", "word. word, (word) wörd's \u00a0x"
 ]
 PATHS = tokens.vocabulary_path(), tokens.vocabulary_path("piece_bpe_32k.model")
 
@@ -41,7 +41,7 @@ def _brute(texts):
     coder = Tokenizer.from_file(PATHS[0])
     coder.encode_special_tokens = True
     model = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
-    a_side, b_side = sides(*PATHS)
+    a_side, b_side = coders(*PATHS).a, coders(*PATHS).b
     docs, links = [], Counter()
     for text in texts:
         a = coder.encode(" " + text, add_special_tokens=False).ids if text else []
@@ -90,7 +90,7 @@ def test_empty_table(spark):
 
 def test_pairs_are_bounded_by_the_vocabularies(spark):
     assert possible_pairs([b"a", b"ba", b"cba"], [b"a", b"a", b"cba", b"x"]) == 7 + 2
-    a_side, b_side = sides(*PATHS)
+    a_side, b_side = coders(*PATHS).a, coders(*PATHS).b
     assert possible_pairs(a_side.bytes_of, b_side.bytes_of) < 1_000_000 and len(b_side.bytes_of) < SHIFT
     aligned = align(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
     wrong = spark.range(2_000_000).select(F.col("id").alias("a"), F.lit(0).alias("b"), F.lit(1).cast("long").alias("links"), F.lit(1).cast("long").alias("best"))

@@ -346,3 +346,33 @@ def test_url_filter_matches_brute_force(spark):
 def test_sha_of_kept_text_is_of_utf8(spark):
     row = substring_dedup(_docs(spark, [(1, "é  ü\nx", None)])).select(F.sha2("kept_text", 256).alias("s")).first()
     assert row["s"] == hashlib.sha256("é ü x".encode()).hexdigest()
+
+
+def test_packing_deals_out_the_remainder_of_every_task(spark):
+    rng = random.Random(4)
+    docs = _docs(spark, [(i, " ".join(_words(rng.randrange(5, 120), i)), None) for i in range(640)]).repartition(16)
+    rows = pack(docs).collect()
+    by_window = {}
+    for r in rows:
+        by_window.setdefault(r["sequence_id"], []).append(r)
+    for own in by_window.values():
+        own.sort(key=lambda r: r["offset"])
+        assert [r["offset"] for r in own] == [sum(p["length"] for p in own[:k]) for k in range(len(own))]
+    load = {w: sum(r["length"] for r in own) for w, own in by_window.items()}
+    tokens_of, dealt = {}, {}
+    for w, n in load.items():
+        task = w >> 36
+        tokens_of[task] = tokens_of.get(task, 0) + n
+        if n & (n - 1) or n == 1024:
+            dealt[task] = dealt.get(task, 0) + n
+    # No task has a block of 64 windows, yet all but less than two windows of each are dealt out.
+    assert len(tokens_of) == 16 and all(2048 < n < 64 * 1024 for n in tokens_of.values())
+    assert all(tokens_of[t] - dealt.get(t, 0) < 2048 for t in tokens_of)
+    padding = sum(1024 - n for n in load.values() if n & (n - 1))
+    assert padding < 0.1 * sum(load.values()) and max(load.values()) <= 1024
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["doc_tokens"]))
+    for own in pieces.values():
+        own.sort()
+        assert [p[0] for p in own] == [sum(q[1] for q in own[:k]) for k in range(len(own))] and sum(p[1] for p in own) == own[0][2]
