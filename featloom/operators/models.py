@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from featloom.operators.folds import TEST, TRAIN, VALID, kfold, out_of_fold, stratified_holdout
 from featloom.operators.metrics import roc_auc
+from featloom.operators.staged import Ensemble, Stop, cut_at_best, staged_score
 from featloom.workspace import materialise, scratch_path
 
 FEATURES, LABEL, FOLD, WEIGHT, HELD_OUT = "features", "label", "fold", "weight", "held_out"
@@ -79,7 +80,11 @@ def net(width: int, layers: Sequence[int] = NET_LAYERS) -> Learner:
 
 @dataclass(frozen=True)
 class Recipe:
-    """A learner with its parameters; ``positive_weight`` weights label 1 rows."""
+    """A learner with its parameters; ``positive_weight`` weights label 1 rows.
+
+    ``early_stop`` ends training by the learner's own tolerance; with ``patience`` (boosted trees) the
+    area on the held-out rows is taken after every round, and rows are scored by the rounds up to the best one.
+    """
 
     learner: Learner
     params: dict[str, Any] = field(default_factory=dict)
@@ -87,6 +92,7 @@ class Recipe:
     positive_weight: float | None = None
     balanced: bool = False
     early_stop: bool = False
+    patience: int | None = None
 
     def fit(self, train: DataFrame, held_out: DataFrame | None = None):
         params = dict(self.params)
@@ -114,10 +120,22 @@ def score(model, df: DataFrame, out: str = "score") -> DataFrame:
     )
 
 
+def fit_scorer(recipe: Recipe, train: DataFrame, held_out: DataFrame) -> tuple[Any, Callable[[DataFrame], DataFrame], Stop | None]:
+    """(model, what scores rows with it, where its rounds were cut)."""
+    model = recipe.fit(train, held_out)
+    if recipe.patience is None:
+        return model, lambda rows: score(model, rows), None
+    trees, stop = cut_at_best(Ensemble.of(model, train.sparkSession), held_out, FEATURES, LABEL, recipe.patience)
+    return model, lambda rows: staged_score(trees, rows, FEATURES), stop
+
+
 @dataclass(frozen=True)
 class FoldResult:
+    """``stops`` has, for each fold of a recipe with patience, where its rounds were cut."""
+
     stacked: DataFrame
     importances: DataFrame | None
+    stops: list[Stop | None] = field(default_factory=list)
 
 
 def in_parallel(spark: SparkSession, task: Callable[[Any], Any], items: Sequence[Any], width: int) -> list[Any]:
@@ -152,32 +170,33 @@ def kfold_fit(
     unlabelled = vectors.where(F.col(LABEL).isNull())
     names = vector_names(vectors)
 
-    def fit_fold(fold: int) -> tuple[list[DataFrame], DataFrame | None]:
+    def fit_fold(fold: int) -> tuple[list[DataFrame], DataFrame | None, Stop | None]:
         train = labelled.where(F.col(FOLD) != fold).drop(FOLD)
         held_out = labelled.where(F.col(FOLD) == fold).drop(FOLD)
-        model = recipe.fit(train, held_out)
+        model, scorer, stop = fit_scorer(recipe, train, held_out)
         scored = [
-            score(model, rows).select(key, LABEL, F.lit(fold).alias(FOLD), F.lit(part).alias("part"), "score")
+            scorer(rows).select(key, LABEL, F.lit(fold).alias(FOLD), F.lit(part).alias("part"), "score")
             for part, rows in ((TRAIN, train), (VALID, held_out), (TEST, unlabelled))
         ]
         if not with_importance:
-            return scored, None
-        return scored, importance_table(model, names, vectors.sparkSession).withColumn(FOLD, F.lit(fold))
+            return scored, None, stop
+        return scored, importance_table(model, names, vectors.sparkSession).withColumn(FOLD, F.lit(fold)), stop
 
     fitted = in_parallel(vectors.sparkSession, fit_fold, range(k), parallel)
-    stacked = materialise(reduce(DataFrame.unionByName, [df for scored, _ in fitted for df in scored]), "scores")
-    return FoldResult(stacked, reduce(DataFrame.unionByName, [i for _, i in fitted]) if with_importance else None)
+    stacked = materialise(reduce(DataFrame.unionByName, [df for scored, *_ in fitted for df in scored]), "scores")
+    importances = reduce(DataFrame.unionByName, [i for _, i, _ in fitted]) if with_importance else None
+    return FoldResult(stacked, importances, [stop for *_, stop in fitted])
 
 
 def holdout_fit(vectors: DataFrame, key: str, recipe: Recipe, share: float = 0.9, seed: int = 0) -> DataFrame:
     """One fit on a stratified share of the labelled rows; scores of all rows with their part."""
-    split = stratified_holdout(vectors.where(F.col(LABEL).isNotNull()), key, LABEL, share, seed)
+    split = materialise(stratified_holdout(vectors.where(F.col(LABEL).isNotNull()), key, LABEL, share, seed), "split")
     train = split.where(F.col("in_train") == 1).drop("in_train")
     held_out = split.where(F.col("in_train") == 0).drop("in_train")
-    model = recipe.fit(train, held_out)
+    _, scorer, _ = fit_scorer(recipe, train, held_out)
     parts = {TRAIN: train, VALID: held_out, TEST: vectors.where(F.col(LABEL).isNull())}
     scored = [
-        score(model, rows).select(key, LABEL, F.lit(part).alias("part"), "score")
+        scorer(rows).select(key, LABEL, F.lit(part).alias("part"), "score")
         for part, rows in parts.items()
     ]
     return reduce(DataFrame.unionByName, scored)

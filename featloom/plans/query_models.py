@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from featloom.functions.hashing import hash32
 from featloom.operators.encode import AlphabeticalCodes, OneHot, fill_with_mean, rank_gauss
-from featloom.operators.folds import fold_mean_score, in_sample_score, out_of_fold, stratified_kfold
+from featloom.operators.folds import fold_mean_score, in_sample_score, out_of_fold, stratified_holdout, stratified_kfold
 from featloom.operators.metrics import roc_auc, score_summary
 from featloom.operators.models import (
     LABEL,
@@ -37,6 +37,7 @@ from featloom.operators.selection import (
     shadow_selection,
     vector_components,
 )
+from featloom.operators.staged import Ensemble, early_stop, staged_auc, staged_margins
 from featloom.plans.fixtures import DOCS_SQL, TEXT_FEATURES, labelled_documents
 from featloom.plans.registry import hash32_sql, query
 from featloom.sources.tables import table
@@ -98,6 +99,51 @@ def gbt_holdout(spark, folder):
     return holdout_fit(document_vectors(spark, folder), KEY, recipe)
 
 
+#: Fixed trees of one split: feature, threshold, value up to it, value above it.
+STUMPS = [("n_spaces", 120, -0.3, 0.2), ("n_chars", 900, -0.1, 0.25), ("n_spaces", 400, 0.05, -0.2), ("n_lines", 3, -0.15, 0.1), ("n_chars", 2500, 0.02, -0.4), ("n_spaces", 60, -0.5, 0.01)]
+
+
+def _stump_sql(feature: str, cut: float, low: float, high: float) -> str:
+    return f"CASE WHEN coalesce({feature}, 0) <= {cut} THEN {low}::DOUBLE ELSE {high}::DOUBLE END"
+
+
+@query(
+    "staged_auc",
+    f"""WITH {DOCS_SQL},
+m AS (SELECT doc_id, quality, {", ".join(f"{' + '.join(_stump_sql(*s) for s in STUMPS[:k])} AS m{k}" for k in range(1, len(STUMPS) + 1))} FROM docs WHERE quality IS NOT NULL),
+long AS ({" UNION ALL ".join(f"SELECT {k} AS stage, quality, m{k} AS v FROM m" for k in range(1, len(STUMPS) + 1))}),
+ranked AS (SELECT stage, quality, rank() OVER (PARTITION BY stage ORDER BY v) + (count(*) OVER (PARTITION BY stage, v) - 1) / 2.0 AS r FROM long),
+area AS (
+  SELECT stage, round((sum(r) FILTER (quality = 1) - count(*) FILTER (quality = 1) * (count(*) FILTER (quality = 1) + 1) / 2.0)
+    / (count(*) FILTER (quality = 1) * count(*) FILTER (quality = 0)), 9) AS auc FROM ranked GROUP BY stage)
+SELECT stage::INTEGER AS stage, auc, (stage = (SELECT min(stage) FROM area WHERE auc = (SELECT max(auc) FROM area))) AS best FROM area""",
+)
+def staged_auc_query(spark, folder):
+    """Area after each tree of an ensemble that SQL can evaluate as well, and the best of them."""
+    features = list(dict.fromkeys(s[0] for s in STUMPS))
+    docs = labelled_documents(spark, folder).where(F.col("quality").isNotNull())
+    trees = Ensemble.stumps([(features.index(f), cut, low, high) for f, cut, low, high in STUMPS])
+    x = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
+    areas = materialise(staged_auc(docs.select("quality", staged_margins(trees, x).alias("m")), "quality", "m").select("stage", F.round("auc", 9).alias("auc")), "areas")
+    best = areas.agg(F.min_by("stage", F.struct(-F.col("auc"), F.col("stage"))).alias("first"))
+    return areas.select("stage", "auc", (F.col("stage") == best.scalar()).alias("best"))
+
+
+@query("gbt_early_stop")
+def gbt_early_stop(spark, folder):
+    """A training of 200 rounds on nine tenths of the labelled rows: the area on the rest after each round, and where patience of 30 rounds ends it."""
+    vectors = document_vectors(spark, folder)
+    split = materialise(stratified_holdout(vectors.where(F.col(LABEL).isNotNull()), KEY, LABEL, 0.9, 0), "split")
+    held_out = split.where("in_train = 0")
+    recipe = Recipe(boosted_trees, {"maxIter": 200, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.85}, 0)
+    trees = Ensemble.of(recipe.fit(split.where("in_train = 1").drop("in_train")), spark)
+    walked = held_out.select(LABEL, staged_margins(trees, vector_to_array("features")).alias("m"))
+    areas = staged_auc(walked, LABEL, "m").orderBy("stage").collect()  # one row a round
+    stop = early_stop([r["auc"] for r in areas], 30)
+    rows = [(r["stage"], r["auc"], stop.best, stop.stopped) for r in areas]
+    return spark.createDataFrame(rows, "stage int, auc double, best int, stopped int")
+
+
 @query("mlp_kfold")
 def mlp_kfold(spark, folder):
     docs, features = document_features(spark, folder)
