@@ -1,4 +1,4 @@
-"""Global order without a global task: ranks, running totals, quantiles, permutations.
+"""Global order without a global task: ranks, running totals, quantiles.
 
 Every operator here sorts by range partitioning on a unique (or collapsed)
 sort key, so equal values spread over as many tasks as they need, and then
@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featloom.functions.hashing import hash_text
 from featloom.workspace import lookup_join, materialise
 
 PART = "__part"
@@ -137,27 +136,3 @@ def quantiles_by(
     counted = running_totals(value_counts(df, value, by), [value], ["n"], by)
     aggregates, outputs = quantile_columns(value, "n", quantiles)
     return counted.groupBy(*by).agg(*aggregates).select(*by, *outputs)
-
-
-def key_places(df: DataFrame, key: str) -> DataFrame:
-    """(key, ``__rank``): position of each row in key order."""
-    return exact_rank(df.select(key), [key], (), "__rank")
-
-
-def permute(
-    df: DataFrame, key: str, columns: Sequence[str], seeds: Sequence[int | str], seed_column: str = "seed", places: DataFrame | None = None
-) -> DataFrame:
-    """``columns`` shuffled over the rows, once per seed: (seed, key, columns).
-
-    The row at position r in key order takes the values of the row at position
-    r in the order of the seeded key hash, so every value is used exactly once. ``places`` are the rows'
-    positions (``key_places``), for callers that permute the same rows again and again.
-    """
-    seeded = (
-        df.select(key, *columns)
-        .withColumn(seed_column, F.explode(F.array(*[F.lit(str(s)) for s in seeds])))
-        .withColumn("__hash", hash_text(key, F.col(seed_column)))
-    )
-    donors = exact_rank(seeded, ["__hash", key], [seed_column], "__rank").drop(key, "__hash")
-    takers = key_places(df, key) if places is None else places
-    return takers.join(donors, "__rank").select(seed_column, key, *columns)

@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featloom.operators.bijection import PLACE, permuted_classes, permuted_rows, with_places
 from featloom.operators.encode import fill_with_mean
 from featloom.operators.metrics import roc_auc
 from featloom.operators.models import (
@@ -24,10 +25,12 @@ from featloom.operators.models import (
     vector_names,
     vector_table,
 )
-from featloom.operators.rank import key_places, permute
 from featloom.workspace import materialise
 
 
+NULL_LABELS = "null_labels"
+
+
 def _slots(vectors: DataFrame, indices: Sequence[int], key: str) -> DataFrame:
     slicer = VectorSlicer(inputCol="all_features", outputCol=FEATURES, indices=list(indices))
     return slicer.transform(vectors.withColumnRenamed(FEATURES, "all_features")).select(key, LABEL, FEATURES)
@@ -75,19 +78,28 @@ def residual_rounds(vectors: DataFrame, key: str, recipe: Recipe, stop_at: float
 def importance_runs(
     vectors: DataFrame, key: str, recipe: Recipe, seeds: Sequence[int | str], parallel: int = 4
 ) -> DataFrame:
-    """One fit per seed on permuted labels: (run, feature, gain, split, train_auc)."""
+    """One fit per seed on permuted labels: (run, feature, gain, split, train_auc).
+
+    The labels of all runs stand beside the vectors as one array, written once; a run only picks its entry.
+    """
     labelled = vectors.where(F.col(LABEL).isNotNull())
-    shuffled = materialise(permute(labelled, key, [LABEL], seeds), "null-labels")
+    drawn = materialise(permuted_classes(labelled, key, LABEL, seeds, NULL_LABELS), "null-labels")
+    # A reread column keeps no names of vector slots.
+    named = drawn.withMetadata(FEATURES, vectors.schema[FEATURES].metadata)
 
     def one_run(numbered: tuple[int, int | str]) -> DataFrame:
-        run, seed = numbered
-        labels = shuffled.where(F.col("seed") == str(seed)).select(key, LABEL)
-        return _run_table(labelled.drop(LABEL).join(labels, key), recipe, run)
+        place, _ = numbered
+        return _run_table(null_labelled(named, key, place), recipe, place + 1)
 
-    tables = in_parallel(vectors.sparkSession, one_run, list(enumerate(seeds, start=1)), parallel)
+    tables = in_parallel(vectors.sparkSession, one_run, list(enumerate(seeds)), parallel)
     return reduce(DataFrame.unionByName, tables)
 
 
+def null_labelled(drawn: DataFrame, key: str, place: int) -> DataFrame:
+    """The vectors with the permuted labels of one run: a projection."""
+    return drawn.select(key, F.get(NULL_LABELS, F.lit(place)).alias(LABEL), FEATURES)
+
+
 def actual_importance(vectors: DataFrame, recipe: Recipe) -> DataFrame:
     return _run_table(vectors.where(F.col(LABEL).isNotNull()), recipe, 0)
 
@@ -190,26 +202,29 @@ def shadow_selection(
     percent: float = 90,
     limit: float = 1e9,
     seed: int = 0,
+    least_shadows: int = 5,
 ) -> ShadowState:
-    """Features that beat row-permuted copies of themselves in a balanced forest.
+    """Features that beat shuffled copies of themselves in a balanced forest.
 
-    Each round joins one permuted block of all remaining features to the rows,
-    fits, and counts a hit for each feature above the given percentile of the
-    shadow importances.
+    Each round shuffles every remaining feature by itself, so that a shadow goes with no other column, in one exchange; it
+    fits on both and counts a hit for each feature above the given percentile of the shadow importances. While fewer than
+    ``least_shadows`` features remain, they are shuffled several times, so that the percentile has that many shadows at least.
     """
     labelled = df.where(F.col(label).isNotNull())
     clean = fill_with_mean(labelled.select(key, label, *features), features, limit=limit)
-    base = materialise(clean, "shadow-base")
-    places = materialise(key_places(base, key), "shadow-places")
+    placed, n = with_places(clean, key)
     state = ShadowState.start(features)
     for round_ in range(rounds):
         current = [f for f in features if state.status[f] != "rejected"]
         if not state.named("tentative"):
             break
-        block = permute(base, key, current, [f"{seed}:{round_}"], places=places).drop("seed")
-        shadows = block.withColumnsRenamed({f: f"shadow_{f}" for f in current})
-        both = [*current, *[f"shadow_{f}" for f in current]]
-        vectors = vector_table(base.select(key, label, *current).join(shadows, key), key, both, label)
+        copies = -(-least_shadows // len(current))
+        both, table = list(current), placed.select(PLACE, key, label, *current)
+        for copy in range(copies):
+            prefix = f"shadow{copy}_"
+            both += [f"{prefix}{f}" for f in current]
+            table = permuted_rows(table, n, current, f"{seed}:{round_}:{copy}", prefix)
+        vectors = vector_table(table, key, both, label)
         model = recipe.fit(vectors)
         weights = model.featureImportances.toArray()
         threshold = linear_percentile([float(w) for w in weights[len(current):]], percent)

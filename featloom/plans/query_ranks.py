@@ -17,7 +17,8 @@ from featloom.operators.folds import (
     stratified_kfold,
 )
 from featloom.operators.metrics import log_loss, precision_recall, roc_auc, score_summary
-from featloom.operators.rank import exact_rank, mid_ranks, permute, top_k
+from featloom.operators.bijection import permute, permuted_classes, round_keys
+from featloom.operators.rank import exact_rank, mid_ranks, top_k
 from featloom.operators.selection import null_importance_log_score, null_importance_percent_score
 from featloom.operators.separation import (
     class_separation,
@@ -37,6 +38,7 @@ from featloom.plans.fixtures import (
 )
 from featloom.plans.registry import OFF_TIE, hash32_sql, hash_text_sql, query, round_sql, rounded
 from featloom.sources.tables import table
+from featloom.workspace import materialise
 
 PRIORITIES = {
     "1-URGENT": "1_URGENT",
@@ -211,21 +213,55 @@ def topk_importance(spark, folder):
     return top_k(rounded(importance, 2), "importance", 3, "feature")
 
 
+def _step_sql(v: str) -> str:
+    """One pass of the bijection's rounds over the digits of ``v``; the columns f0, s0, f1, ... hold a seed's factors and shifts."""
+    x, y = f"({v} % a)", f"({v} // a)"
+    for k in range(6):
+        moved = lambda digit: f"(({digit} * f{k} + s{k}) % 2147483647)"
+        x, y = (f"(({x} + {moved(y)}) % a)", y) if k % 2 == 0 else (x, f"(({y} + {moved(x)}) % b)")
+    return f"({y} * a + {x})"
+
+
+def _walk_sql(seeds, source: str = "labels") -> str:
+    """walk(seed, r, v): the places r of ``source`` and where each seed's bijection sends them."""
+    keys = ", ".join(f"('{s}', {', '.join(f'{f}::BIGINT, {c}::BIGINT' for f, c in round_keys(s))})" for s in seeds)
+    names = ", ".join(f"f{k}, s{k}" for k in range(6))
+    return f"""total AS (SELECT count(*) AS n FROM {source}),
+grid AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT n, ceil(sqrt(n))::BIGINT AS a FROM total)),
+keys(seed, {names}) AS (VALUES {keys}),
+trip AS (
+  SELECT seed, r, {_step_sql('r')} AS v, 1 AS w FROM keys, grid, range((SELECT n FROM total)) AS t(r)
+  UNION ALL SELECT seed, r, {_step_sql('v')} AS v, w + 1 FROM trip JOIN keys USING (seed), grid WHERE v >= n),
+walk AS (SELECT seed, r, v FROM trip, grid WHERE v < n)"""
+
+
 def _permuted_sql(seeds) -> str:
-    runs = " UNION ALL ".join(
-        f"""SELECT '{s}' AS seed, t.doc_id, d.quality FROM
-  (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM labels) t JOIN
-  (SELECT quality, row_number() OVER (ORDER BY {hash_text_sql('doc_id', s)}, doc_id) AS r FROM labels) d ON d.r = t.r"""
-        for s in seeds
-    )
-    return f"permuted AS ({runs})"
+    return f"""{_walk_sql(seeds)},
+placed AS (SELECT doc_id, quality, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM labels),
+permuted AS (SELECT seed, t.doc_id, d.quality FROM walk JOIN placed t ON t.r = walk.r JOIN placed d ON d.r = walk.v)"""
 
 
-@query("permuted_labels", f"WITH {_permuted_sql([11, 12])} SELECT * FROM permuted")
+@query("permuted_labels", f"WITH RECURSIVE {_permuted_sql([11, 12])} SELECT * FROM permuted")
 def permuted_labels(spark, folder):
     return permute(table(spark, folder, "labels"), "doc_id", ["quality"], [11, 12])
 
 
+@query(
+    "null_label_arrays",
+    f"""WITH RECURSIVE {_walk_sql(range(80))},
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM labels),
+sizes AS (SELECT quality, sum(count(*)) OVER (ORDER BY quality) AS top, count(*) AS own FROM labels GROUP BY quality)
+SELECT doc_id, sum(quality)::BIGINT AS n_good, sum(quality * (seed::INT + 1))::BIGINT AS good_seeds
+FROM walk JOIN placed USING (r) JOIN sizes ON v < top AND v >= top - own GROUP BY doc_id""",
+)
+def null_label_arrays(spark, folder):
+    """80 permuted labels of each row: how many are good, and the sum of their runs' numbers."""
+    drawn = materialise(permuted_classes(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "quality", range(80)), "drawn")
+    good = F.aggregate("labels", F.lit(0).cast("long"), lambda total, y: total + y)
+    runs = F.aggregate(F.transform("labels", lambda y, i: y * (i + 1)), F.lit(0).cast("long"), lambda total, y: total + y)
+    return drawn.select("doc_id", good.alias("n_good"), runs.alias("good_seeds"))
+
+
 STAT_FEATURES = [*TEXT_FEATURES, "toxic"]
 
 
@@ -469,7 +505,7 @@ def importance_mean(spark, folder):
 
 @query(
     "null_importance_log",
-    f"""WITH {NULL_RUNS_SQL}, q AS (SELECT feature, quantile_cont(gain, 0.75) AS g, quantile_cont(split, 0.75) AS s FROM nulls GROUP BY feature)
+    f"""WITH RECURSIVE {NULL_RUNS_SQL}, q AS (SELECT feature, quantile_cont(gain, 0.75) AS g, quantile_cont(split, 0.75) AS s FROM nulls GROUP BY feature)
 SELECT act.feature, round(ln(1e-10::DOUBLE + act.gain / (1 + q.g)), 4) AS gain_score, round(ln(1e-10::DOUBLE + act.split / (1 + q.s)), 4) AS split_score
 FROM act JOIN q ON q.feature = act.feature""",
 )
@@ -479,7 +515,7 @@ def null_importance_log(spark, folder):
 
 @query(
     "null_importance_percent",
-    f"""WITH {NULL_RUNS_SQL}, q AS (SELECT feature, quantile_cont(gain, 0.25) AS g, quantile_cont(split, 0.25) AS s FROM act GROUP BY feature)
+    f"""WITH RECURSIVE {NULL_RUNS_SQL}, q AS (SELECT feature, quantile_cont(gain, 0.25) AS g, quantile_cont(split, 0.25) AS s FROM act GROUP BY feature)
 SELECT n.feature, round(100.0::DOUBLE * count(*) FILTER (WHERE n.gain < q.g) / count(*), 4) AS gain_score,
   round(100.0::DOUBLE * count(*) FILTER (WHERE n.split < q.s) / count(*), 4) AS split_score
 FROM nulls n JOIN q ON q.feature = n.feature GROUP BY n.feature""",

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from featloom.operators.encode import rank_gauss
-from featloom.operators.rank import exact_rank, permute, running_totals, value_counts
+from featloom.operators.bijection import permute
+from featloom.operators.rank import exact_rank, running_totals, value_counts
 from featloom.operators.rollup import RollupSpec, rollup
 from featloom.operators.separation import class_separation
 from featloom.sources.tables import table

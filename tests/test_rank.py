@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from featloom.operators.metrics import log_loss, precision_recall, roc_auc
-from featloom.operators.rank import exact_rank, mid_ranks, permute, quantiles_by, running_totals, value_counts
+from featloom.operators.bijection import permute
+from featloom.operators.rank import exact_rank, mid_ranks, quantiles_by, running_totals, value_counts
 
 
 @pytest.fixture(scope="module")
