@@ -219,7 +219,7 @@ def residual_selection(spark, folder):
 def null_importance_runs(spark, folder):
     recipe = Recipe(forest, {"numTrees": 10, "maxDepth": 6, "subsamplingRate": 0.623}, 1)
     vectors = document_vectors(spark, folder)
-    runs = importance_runs(vectors, KEY, recipe, [1, 2, 3])
+    runs = importance_runs(vectors, KEY, recipe, range(80), parallel=8)
     return null_importance_log_score(actual_importance(vectors, recipe), runs, ["gain", "split"])
 
 
