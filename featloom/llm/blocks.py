@@ -176,3 +176,11 @@ def prime_from(n: int) -> int:
     while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
         n += 1
     return n
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or if a column is called so, ``name`` with underscores before it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -139,7 +139,7 @@ def decontaminate(
     out, found = docs, []
     for k, part in enumerate(_parts(benchmark, item_col, item_text_col, max_bytes)):
         shared = docs.sparkSession.sparkContext.broadcast(WindowSet(part, window))
-        found.append(f"__{result_col}_{k}")
+        found.append(blocks.free_name(out.columns, f"__{result_col}_{k}"))
         out = out.withColumn(found[-1], _scanner(shared)(F.col(text_col)))
     if len(found) < 2:
         shared = shared if found else docs.sparkSession.sparkContext.broadcast(WindowSet([], window))

@@ -19,11 +19,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featloom.llm import blocks
 from featloom.workspace import materialise
 
 RUN = 3
 LONG_LINE = 200
-#: Words from which a repeated passage of any number of lines goes in the pipeline; the query keeps to its SQL, which has no such windows.
+#: Words from which a repeated passage of any number of lines goes in the query and the pipeline.
 LEAST_WORDS = 50
 _BLANKS = " \t\n\x0b\f\r"
 _WORD = "[^\\x20\\x09-\\x0D]+"
@@ -104,12 +105,13 @@ def line_dedup(
     Rows with the same id are judged alike, never against each other at the same place. Other columns pass
     unchanged; a column named ``result_col`` is replaced. The counts are of lines with words.
     """
-    gone = repeated_lines(docs, id_col, text_col, run, long_line, least_words).withColumnsRenamed({"id": "__id", "gone": "__gone"})
-    joined = docs.join(gone, docs[id_col].cast("long") == F.col("__id"), "left").drop("__id")
+    own, lost = blocks.free_name(docs.columns, "__id"), blocks.free_name(docs.columns, "__gone")
+    gone = repeated_lines(docs, id_col, text_col, run, long_line, least_words).withColumnsRenamed({"id": own, "gone": lost})
+    joined = docs.join(gone, docs[id_col].cast("long") == F.col(own), "left").drop(own)
     lines = _lines(F.col(text_col))
     some = F.size(F.filter(lines, lambda x: F.length(F.btrim(x, F.lit(_BLANKS))) > 0))
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
     kept = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept)
-    counts = F.when(F.col(text_col).isNotNull(), F.struct(some.cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed")))
-    return joined.withColumns({result_col: counts, text_col: text}).drop("__gone")
+    text = F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(kept)
+    counts = F.when(F.col(text_col).isNotNull(), F.struct(some.cast("long").alias("n_lines"), F.coalesce(F.size(lost), F.lit(0)).cast("long").alias("n_removed")))
+    return joined.withColumns({result_col: counts, text_col: text}).drop(lost)

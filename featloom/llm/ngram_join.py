@@ -318,5 +318,6 @@ def ngram_join(
 
 def keep_one(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the documents of a class other than its smallest id; rows without an id stay. Columns pass unchanged."""
-    gone = joined.where(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    lost = blocks.free_name(docs.columns, "__gone")
+    gone = joined.where(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias(lost)).distinct()
+    return docs.join(gone, docs[id_col] == F.col(lost), "left_anti")

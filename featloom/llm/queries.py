@@ -11,7 +11,7 @@ from featloom.llm.conversation_trie import prefix_trie, share_heads, turn_sequen
 from featloom.llm.decontaminate import contaminated, decontaminate
 from featloom.llm.language_id import held_out, language_id
 from featloom.llm.license_scan import license_scan
-from featloom.llm.line_dedup import line_dedup
+from featloom.llm.line_dedup import LEAST_WORDS, line_dedup
 from featloom.llm.line_quality import line_quality
 from featloom.llm.ngram_join import ngram_join
 from featloom.llm.packing import pack
@@ -46,7 +46,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), least_words=LEAST_WORDS)
     return cut.select("doc_id", "lines.n_lines", "lines.n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -51,7 +51,9 @@ full_lines AS (SELECT doc_id, list(struct_pack(pos := pos, l := l) ORDER BY pos)
 win AS (
   SELECT doc_id, ls[i].pos AS pos, list_transform(ls[i:i + 2], lambda x: x.pos) AS lines, list_transform(ls[i:i + 2], lambda x: x.l) AS k
   FROM (SELECT doc_id, ls, unnest(range(1, greatest(len(ls) - 2, 1) + 1)) AS i FROM full_lines)
-  UNION ALL SELECT doc_id, pos, [pos], [l] FROM line WHERE length(l) >= 200 AND regexp_matches(l, '[^\x20\x09-\x0D]')),
+  UNION ALL SELECT doc_id, pos, [pos], [l] FROM line WHERE (length(l) >= 200 OR len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) >= 50) AND regexp_matches(l, '[^\x20\x09-\x0D]')
+  UNION ALL SELECT doc_id, a.pos, [a.pos, b.pos], [a.l, b.l] FROM (SELECT doc_id, unnest(ls[:-2]) AS a, unnest(ls[2:]) AS b FROM full_lines WHERE len(ls) >= 2)
+    WHERE len(regexp_extract_all(a.l || ' ' || b.l, '[^\x20\x09-\x0D]+')) >= 50),
 firsts AS (SELECT k, min(struct_pack(doc_id := doc_id, pos := pos)) AS f FROM win GROUP BY k),
 gone AS (SELECT DISTINCT doc_id, unnest(lines) AS pos FROM win JOIN firsts USING (k) WHERE struct_pack(doc_id := doc_id, pos := pos) > f),
 kept AS (SELECT doc_id, string_agg(l, chr(10) ORDER BY pos) AS t FROM line ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
