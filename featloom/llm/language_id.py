@@ -34,14 +34,13 @@ _SEEN = np.where(np.arange(256) >= 128, np.arange(256), np.where(_LETTER, np.ara
 class Training:
     """Bounds and settings of the fit.
 
-    rows: most labelled rows that are used (those with the smallest hash of their id and text); row_parts, part_chars: pieces that are
-    taken of each, in equal steps from its first to its last character, and their length (a shorter text is used whole);
-    window: bytes in a window; filters: per width; epochs, batch, rate, decay: of the Adam optimiser.
+    rows: most labelled rows that are used (those with the smallest hash of their id and text), each with all windows of its text; row_windows: windows of a
+    row that an epoch draws, anew each time (all of them if it has no more); window: bytes in a window; filters: per width; epochs, batch,
+    rate, decay: of the Adam optimiser.
     """
 
     rows: int = 6000
-    row_parts: int = 6
-    part_chars: int = 128
+    row_windows: int = 6
     window: int = 128
     filters: int = 8
     epochs: int = 8
@@ -118,13 +117,16 @@ def train(texts: list[str], labels: list[str], settings: Training = Training())
     of = np.concatenate([r + low for (_, r), low in got])
     y = np.searchsorted(names, np.array(labels))[of]
     some = (x != 32).sum(axis=1) >= 8
-    x, y = x[some], y[some]
+    x, y, of = x[some], y[some], of[some]
+    # The windows stand in the order of the rows: how many come before a row's own.
+    before = np.searchsorted(of, of)
     f, n_out = settings.filters, len(names)
     net = Network(names, settings.window, [rng.normal(0, 0.3 / width, (width, 256, f)).astype(np.float32) for width in WIDTHS], np.zeros(f * len(WIDTHS), np.float32), rng.normal(0, 0.3, (f * len(WIDTHS), n_out)).astype(np.float32), np.zeros(n_out, np.float32))
     values = [*net.tables, net.bias, net.out, net.out_bias]
     first, second, step = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values], 0
     for _ in range(settings.epochs):
-        order = rng.permutation(len(x))
+        drawn = np.lexsort((rng.random(len(x)), of))
+        order = rng.permutation(drawn[np.arange(len(x)) - before < settings.row_windows])
         for low in range(0, len(order), settings.batch):
             own = order[low : low + settings.batch]
             xb, yb = x[own], y[own]
@@ -157,13 +159,6 @@ def train(texts: list[str], labels: list[str], settings: Training = Training())
     return net
 
 
-def _spread_parts(text: Column, settings: Training) -> Column:
-    steps, size, last = settings.row_parts - 1, settings.part_chars, F.length(text) - settings.part_chars
-    begin = lambda k: (last * k / F.lit(max(steps, 1))).cast("int") + 1
-    parts = F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: F.substr(text, begin(k), F.lit(size)))
-    return F.when(F.length(text) <= settings.row_parts * size, text).otherwise(F.array_join(parts, " "))
-
-
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", settings: Training = Training()) -> Network | None:
     """Train on at most ``settings.rows`` labelled rows; which rows depends only on their ids and texts, so rows
     without an id or with a repeated one have places of their own.
@@ -178,7 +173,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
         labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
         .select("id", "text", "label", place.alias("place"))
         .where(F.col("place") <= int(share * (1 << 30)))
-        .select("id", _spread_parts(F.col("text"), settings).alias("text"), "label", "place")
         .orderBy("place", "id", "text", "label")
         .limit(settings.rows)
         .toPandas()

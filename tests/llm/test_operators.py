@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from featloom.llm.decontaminate import contaminated, decontaminate, without_spans
 from featloom.llm.graph import components
-from featloom.llm.language_id import Training, fit, language_id
+from featloom.llm.language_id import Training, fit, language_id, predict
 from featloom.llm.license_scan import license_scan
 from featloom.llm.line_dedup import line_dedup
 from featloom.llm.line_quality import line_quality
@@ -117,6 +117,15 @@ def test_language_id_edges(spark, odd):
     assert language_id(odd.limit(0)).count() == 0
 
 
+def test_language_training_draws_from_whole_texts(spark):
+    # What tells the languages apart stands in the middle of long texts alone.
+    filler = "0123 4567 " * 400
+    rows = [(k, f"{filler}{w * 60}{filler}", lang) for k in range(60) for w, lang in (("the house and garden ", "en"), ("das haus und der garten ", "de"))]
+    net = fit(_docs(spark, rows), settings=Training(rows=200, epochs=4))
+    got = _docs(spark, [(1, "the garden and the house", None), (2, "der garten und das haus", None)]).select("doc_id", predict(net).alias("p")).collect()
+    assert {r["doc_id"]: r["p"]["lang_pred"] for r in got} == {1: "en", 2: "de"}
+
+
 def test_language_training_does_not_prefer_rows_without_an_id(spark):
     rows = [(None, f"the house and the garden {k}", "en") for k in range(300)] + [(k, f"das haus und der garten {k}", "de") for k in range(300)]
     net = fit(_docs(spark, rows), settings=Training(rows=100, epochs=1))

@@ -67,6 +67,22 @@ def test_line_stage_matches_sql(stages):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]])
+def test_stages_on_odd_tables(spark, stage):
+    schema = "doc_id long, text string, lang string, __gone string, __id long, __lines int, __overlap int, __language int"
+    words = " ".join(f"word{i} the" for i in range(40))
+    rows = [(1, words, "en"), (1, words, "en"), (2, None, "en"), (3, "", None), (None, "some other text of its own", "de"), (None, None, None), (4, " \n ", None), (5, "x" * 100_000 + " end", "de")]
+    docs = spark.createDataFrame([(*r, "g", 7, 1, 2, 3) for r in rows], schema)
+    got = stage(spark, docs, SF)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    if stage is corpus_pipeline.language_stage:
+        assert [k[0] for k in kept if k[1] is None or not k[1].strip()] == [] and kept.count((1, words)) == 2
+    else:
+        assert kept == sorted(((r[0], r[1]) for r in rows), key=str)
+    assert stage(spark, docs.limit(0), SF).count() == 0
+
+
 def test_line_stage_takes_two_lines_of_fifty_words(spark):
     passage = "\n".join(" ".join(f"{c}{i}" for i in range(25)) for c in "ab")
     docs = spark.createDataFrame([(k, f"start {k}\n{passage}\nend {k}", 0) for k in (1, 2)], "doc_id long, text string, n_chars long")
