@@ -224,10 +224,12 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_
 
 
 class _Aligned(NamedTuple):
-    """A row of ``align``: the ids, and for each group the tokens up to its end."""
+    """A row of ``align``: the ids, which tokens end a group, and for each group the tokens up to its end."""
 
     a: np.ndarray
     b: np.ndarray
+    a_cut: np.ndarray
+    b_cut: np.ndarray
     a_to: np.ndarray
     b_to: np.ndarray
 
@@ -236,14 +238,24 @@ class _Aligned(NamedTuple):
         """The linked id pairs, packed."""
         return self.a[self.a_to - 1] * SHIFT + self.b[self.b_to - 1]
 
+    def codes(self, many: int) -> np.ndarray:
+        """The ids of both sides group by group, A before B; raised by ``many`` where A's part of a group ends, by twice that where B's ends."""
+        out = np.empty(len(self.a) + len(self.b), np.int64)
+        if len(self.a_to):
+            before = np.concatenate([[0], self.b_to[:-1]])
+            group_a, group_b = (np.cumsum(cut) - cut for cut in (self.a_cut, self.b_cut))
+            out[np.arange(len(self.a)) + before[group_a]] = self.a + many * self.a_cut
+            out[np.arange(len(self.b)) + self.a_to[group_b]] = self.b + 2 * many * self.b_cut
+        return out
+
 
 def _rows(batch: pa.RecordBatch) -> Iterator[_Aligned]:
     """The rows of a batch whose first columns are those of ``align`` after the id."""
     for n_a, n_b, a, b, a_cut, b_cut in zip(*(batch.column(k) for k in range(6))):
         n = n_a.as_py(), n_b.as_py()
         ids = [np.frombuffer(x.as_buffer(), f"<u{len(x.as_buffer()) // k if k else 2}").astype(np.int64) for x, k in zip((a, b), n)]
-        to = [np.flatnonzero(np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=k, bitorder="little")) + 1 for x, k in zip((a_cut, b_cut), n)]
-        yield _Aligned(*ids, *to)
+        cuts = [np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=k, bitorder="little").astype(np.int64) for x, k in zip((a_cut, b_cut), n)]
+        yield _Aligned(*ids, *cuts, *(np.flatnonzero(c) + 1 for c in cuts))
 
 
 _ROW = ("n_a", "n_b", "a_ids", "b_ids", "a_cut", "b_cut")
@@ -278,23 +290,19 @@ def link_scores(aligned: DataFrame, counts: DataFrame, id_col: str = "doc_id", b
     if table.num_rows > bound:
         raise ValueError(f"{table.num_rows} pairs, but the vocabularies allow {bound}; are the counts of other vocabularies?")
     pairs, links, best = (table.column(c).combine_chunks().to_numpy() for c in ("pair", "links", "best"))
-    order = np.argsort(pairs)
+    order, many = np.argsort(pairs), max(len(both.a.bytes_of), len(both.b.bytes_of))
     sent = aligned.sparkSession.sparkContext.broadcast((pairs[order], links[order], best[order]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, links, best = sent.value
-        names = {}
-
-        def text(ids: np.ndarray, to: np.ndarray) -> list[str]:
-            shown = [names.get(i) or names.setdefault(i, str(i)) for i in ids.tolist()]
-            return [",".join(shown[x:y]) for x, y in zip([0, *to[:-1].tolist()], to.tolist())]
+        shown = [f"{i}{mark}" for mark in ",|;" for i in range(many)]
 
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 rows = list(_rows(part.select(part.schema.names[1:])))
                 own = [np.searchsorted(pairs, r.links) for r in rows]
-                groups = [";".join(map("|".join, zip(text(r.a, r.a_to), text(r.b, r.b_to)))) for r in rows]
+                groups = ["".join(map(shown.__getitem__, r.codes(many).tolist()))[:-1] for r in rows]
                 size = pa.array([len(x) for x in own], pa.int64())
                 n_best = pa.array([int((links[x] == best[x]).sum()) for x in own], pa.int64())
                 total = pa.array([int(links[x].sum()) for x in own], pa.int64())
