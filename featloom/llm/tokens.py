@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -28,17 +28,24 @@ class Encoder:
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_file(path)
-        special = {t.content for t in self.full.get_added_tokens_decoder().values()}
-        self.special = re.compile("|".join(map(re.escape, sorted(special))) or r"(?!)")
+        self.path = path
         with open(path, encoding="utf-8") as f:
-            ranks = _ranks(json.load(f)["model"]["vocab"], special)
+            file = json.load(f)
+        special = {t["content"] for t in file["added_tokens"]}
+        self.special = re.compile("|".join(map(re.escape, sorted(special))) or r"(?!)")
+        ranks = _ranks(file["model"]["vocab"], special)
         pattern = public_tokenizers.PATTERN
         self.runs = tiktoken.Encoding("runs", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.plain = tiktoken.Encoding("plain", pat_str=pattern.replace(r"\s+(?!\S)|", ""), mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def full(self):
+        """The tokenizer of the file itself; most workers never meet a text that needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> np.ndarray:
         if self.special.search(text):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
