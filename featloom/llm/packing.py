@@ -27,6 +27,8 @@ from featloom.llm import blocks, tokens
 
 CAPACITY = 1024
 END = 0
+#: Rows of a batch whose texts are copied at a time.
+ROWS = 512
 #: Tokens a window that the last block of a task leaves free, tried in this order, so that its loads fit into as many windows as it fills.
 SLACKS = (8, 32, 128)
 
@@ -168,9 +170,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for chunk in blocks.chunks(batch.column(1)):
+        for part in (b.slice(low, ROWS) for b in batches for low in range(0, b.num_rows, ROWS)):
+            ids = part.column(0).to_pylist()
+            for chunk in blocks.chunks(part.column(1)):
                 for row in range(chunk.rows):
                     packer.add(ids[chunk.low + row], np.append(coder.ids(chunk.text(row).decode()), np.uint32(END)))
                 if packer.out:
