@@ -1,15 +1,17 @@
 """Line-first quality rules: lines are judged one by one, documents by what they lose.
 
-A line with words fails if it reads as navigation (a bar between the words), as
-symbol noise, as shouting, or holds a boilerplate phrase, or if it is a short line without
-closing punctuation. Failed lines are removed; a document that loses more than
-``max_lost`` of its word characters that way is rejected, as is one that fails
+A line with words fails if it reads as navigation (separators between the words, or mostly
+links), as symbol noise, as shouting, or as boilerplate (a phrase of page furniture; one that prose may use as well
+counts in a short line only), or if it is a short line without closing punctuation in any of the usual scripts. A
+pair of Chinese, Japanese or Korean characters counts as a word there. Failed lines are removed; a document that loses more than
+``lost`` percent of its word characters that way is rejected, as is one that fails
 the base rules (too few words, or too many repeated three-word windows).
 One pass over the texts, without a shuffle.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,25 +21,32 @@ from pyspark.sql import functions as F
 
 from featloom.llm import blocks
 
-#: The characters counted as symbols, and those that may close a line.
+#: The characters counted as symbols, those that may close a line, and those that part links.
 SYMBOLS = "#*$%&|<>"
-CLOSING = ".!?:;\"')]"
-#: Phrases of page furniture, looked for in the line with ASCII letters in lower case.
-BOILERPLATE = ("lorem ipsum", "cookie policy", "uses cookies", "use of cookies", "privacy policy", "terms of use", "javascript", "click here", "sign in", "log in")
+CLOSING = ".!?:;\"')]" + "\u2026\u201c\u201d\u2019\u00bb\u203a\u3002\uff01\uff1f\uff1a\uff1b\u300d\u300f\uff09\u0964\u061f"
+SEPARATORS = "|\u00bb\u203a\u2022\u00b7\u2192"
+#: Phrases of page furniture, looked for between word bounds with ASCII letters in lower case: in any line, and in short lines.
+BOILERPLATE = ("lorem ipsum", "enable javascript", "javascript is disabled", "javascript is required", "this site uses cookies", "this website uses cookies")
+SHORT_BOILERPLATE = ("cookie policy", "uses cookies", "use of cookies", "privacy policy", "terms of use", "javascript", "click here", "sign in", "log in")
+#: Starts of words that are links.
+LINK = rb"https?://|www\."
 
 
 @dataclass(frozen=True)
 class Limits:
     """Thresholds of the rules.
 
-    navigation: bars per word from which a line is navigation; symbols: symbol characters per word from which
-    it is noise; shouting: share of capitals among ASCII letters, in a line of ``shout_words`` words or more;
+    navigation: separators per word from which a line is navigation; links: share of words that are links from which
+    it is; furniture: lines below this many words fail by a phrase that prose may use; symbols: symbol characters per word from which
+    a line is noise; shouting: share of capitals among ASCII letters, in a line of ``shout_words`` words or more;
     open_words: a line below this many words must end in closing punctuation; lost: largest share of word
     characters a kept document may lose; words: fewest words; repeated: largest share of words in repeated
     three-word windows. Shares are in percent, so that all tests are on integers.
     """
 
     navigation: int = 30
+    links: int = 50
+    furniture: int = 8
     symbols: int = 50
     shouting: int = 80
     shout_words: int = 4
@@ -60,10 +69,38 @@ def _class(characters: str) -> np.ndarray:
     return np.isin(np.arange(256), np.frombuffer(characters.encode(), np.uint8))
 
 
-_SYMBOL, _CLOSE, _BAR = _class(SYMBOLS), _class(CLOSING), _class("|")
+_SYMBOL = _class(SYMBOLS)
+_ALNUM = np.isin(np.arange(256), np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyz", np.uint8))
+#: First bytes of U+3000 to U+D7FF.
+_WIDE = (np.arange(256) >= 0xE3) & (np.arange(256) <= 0xED)
+_LINK = re.compile(LINK)
 _UPPER, _LOWER = (np.arange(256) >= 65) & (np.arange(256) <= 90), (np.arange(256) >= 97) & (np.arange(256) <= 122)
 
 
+def _ends_of(data: np.ndarray, characters: str) -> np.ndarray:
+    """Flags of the bytes that are the last of one of the characters."""
+    flags = np.zeros(len(data), bool)
+    for encoded in (c.encode() for c in characters):
+        here = data == encoded[-1]
+        for back, byte in enumerate(encoded[-2::-1], 1):
+            here[back:] &= data[:-back] == byte
+            here[:back] = False
+        flags |= here
+    return flags
+
+
+def _phrase_lines(lower: bytes, phrase: str, begin: np.ndarray, stop: np.ndarray) -> list[int]:
+    """Lines in which the phrase stands between word bounds."""
+    lines = []
+    where = lower.find(phrase.encode())
+    while where >= 0:
+        line, end = int(np.searchsorted(begin, where, side="right")) - 1, where + len(phrase)
+        if line >= 0 and end <= stop[line] and (where == begin[line] or not _ALNUM[lower[where - 1]]) and (end == stop[line] or not _ALNUM[lower[end]]):
+            lines.append(line)
+        where = lower.find(phrase.encode(), where + 1)
+    return lines
+
+
 def _repeats(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which hashes occur again in their row, and which of those are not the row's first."""
     order = np.lexsort((hashes, row))
@@ -107,19 +144,20 @@ def _chunk(chunk: blocks.Chunk, limits: Limits) -> dict[str, list]:
 
     within = lambda sums: sums[stop] - sums[begin]
     upper, letters = within(total(_UPPER[data])), within(total(_UPPER[data] | _LOWER[data]))
-    closed = _CLOSE[data[found.ends[last_word - 1] - 1]] if len(n) else np.zeros(0, bool)
-    failed = 100 * within(total(_BAR[data])) >= limits.navigation * n
+    closed = _ends_of(data, CLOSING)[found.ends[last_word - 1] - 1] if len(n) else np.zeros(0, bool)
+    lower = data.tobytes().lower()
+    links = np.array([m.start() for m in _LINK.finditer(lower)], np.int64)
+    link_line = np.searchsorted(begin, links[np.isin(links, found.starts)], side="right") - 1
+    failed = 100 * within(total(_ends_of(data, SEPARATORS))) >= limits.navigation * n
+    failed |= 100 * np.bincount(link_line, minlength=len(n)) >= limits.links * n
     failed |= 100 * within(symbols) >= limits.symbols * n
     failed |= (n >= limits.shout_words) & (letters > 0) & (100 * upper >= limits.shouting * letters)
-    failed |= ~closed & (n < limits.open_words)
-    lower = data.tobytes().lower()
+    failed |= ~closed & (2 * n + within(total(_WIDE[data])) < 2 * limits.open_words)
+    short = n < limits.furniture
     for phrase in BOILERPLATE:
-        where = lower.find(phrase.encode())
-        while where >= 0:
-            line = int(np.searchsorted(begin, where, side="right")) - 1
-            if line >= 0 and where + len(phrase) <= stop[line]:
-                failed[line] = True
-            where = lower.find(phrase.encode(), where + 1)
+        failed[_phrase_lines(lower, phrase, begin, stop)] = True
+    for phrase in SHORT_BOILERPLATE:
+        failed[[line for line in _phrase_lines(lower, phrase, begin, stop) if short[line]]] = True
     line_chars = within(chars)
     lost = np.bincount(line_row[failed], weights=line_chars[failed], minlength=rows).astype(np.int64)
 

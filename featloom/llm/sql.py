@@ -17,19 +17,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_remo
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-_PHRASES = "lorem ipsum|cookie policy|uses cookies|use of cookies|privacy policy|terms of use|javascript|click here|sign in|log in"
+_PHRASES = "lorem ipsum|enable javascript|javascript is disabled|javascript is required|this site uses cookies|this website uses cookies"
+_SHORT_PHRASES = "cookie policy|uses cookies|use of cookies|privacy policy|terms of use|javascript|click here|sign in|log in"
 
 LINE_QUALITY = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{BLANK}') AS w FROM documents),
 line AS (
   SELECT doc_id, l, len(regexp_extract_all(l, '{BLANK}')) AS n, length(regexp_replace(l, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars,
-    length(l) - length(replace(l, '|', '')) AS bars, length(l) - length(regexp_replace(l, '[#*$%&|<>]', '', 'g')) AS symbols,
+    length(l) - length(regexp_replace(l, '[|»›•·→]', '', 'g')) AS bars, len(regexp_extract_all(l, '(?i)(^|[\\x20\\x09-\\x0D])(https?://|www\\.)')) AS links,
+    length(l) - length(regexp_replace(l, '[\\x{{3000}}-\\x{{D7FF}}]', '', 'g')) AS wide, length(l) - length(regexp_replace(l, '[#*$%&|<>]', '', 'g')) AS symbols,
     length(l) - length(regexp_replace(l, '[A-Z]', '', 'g')) AS upper, length(l) - length(regexp_replace(l, '[A-Za-z]', '', 'g')) AS letters,
-    regexp_matches(l, '[.!?:;"'')\\]][\\x20\\x09-\\x0D]*$') AS closed, regexp_matches(l, '(?i)({_PHRASES})') AS phrase
+    regexp_matches(l, '[.!?:;"'')\\]…“”’»›。！？：；」』）।؟][\\x20\\x09-\\x0D]*$') AS closed,
+    regexp_matches(l, '(?i)(^|[^A-Za-z0-9])({_PHRASES})([^A-Za-z0-9]|$)') AS phrase, regexp_matches(l, '(?i)(^|[^A-Za-z0-9])({_SHORT_PHRASES})([^A-Za-z0-9]|$)') AS short_phrase
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '{BLANK}')),
 lines AS (
   SELECT doc_id, count(*) - count(DISTINCT l) AS dup,
-    coalesce(sum(chars) FILTER (WHERE 100 * bars >= 30 * n OR 100 * symbols >= 50 * n OR (n >= 4 AND letters > 0 AND 100 * upper >= 80 * letters) OR (NOT closed AND n < 5) OR phrase), 0) AS lost
+    coalesce(sum(chars) FILTER (WHERE 100 * bars >= 30 * n OR 100 * links >= 50 * n OR 100 * symbols >= 50 * n OR (n >= 4 AND letters > 0 AND 100 * upper >= 80 * letters) OR (NOT closed AND 2 * n + wide < 10) OR phrase OR (short_phrase AND n < 8)), 0) AS lost
   FROM line GROUP BY doc_id),
 tri AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
 twice AS (SELECT doc_id, k FROM tri GROUP BY doc_id, k HAVING count(*) > 1),
