@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from featloom.llm import blocks
 
@@ -24,10 +25,13 @@ MAX_BYTES = 64 << 20
 _BITS = 22
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else (b if blocks.ALPHANUMERIC[b] else 32) for b in range(256))
 
-_SCHEMA = "struct<n_words long, n_hit long, items array<long>, spans array<struct<start long, stop long>>>"
-_TYPE = pa.struct(
-    [("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
-)
+
+def _result_type(text_ids: bool) -> tuple[str, pa.DataType]:
+    """The result column's type for Spark and for Arrow; item ids are long, or text where the benchmark's are no whole numbers."""
+    name, kind = ("string", pa.string()) if text_ids else ("long", pa.int64())
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    schema = f"struct<n_words long, n_hit long, items array<{name}>, spans array<struct<start long, stop long>>>"
+    return schema, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(kind)), ("spans", spans)])
 
 
 def fold(text: bytes) -> bytes:
@@ -38,9 +42,9 @@ def fold(text: bytes) -> bytes:
 class WindowSet:
     """Windows of test items: hash, and for each the words and the item."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int):
+    def __init__(self, items: list[tuple[int | str, str]], window: int):
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.known: dict[tuple[int, int], dict[bytes, set[int]]] = {}
+        self.known: dict[tuple[int, int], dict[bytes, set[int | str]]] = {}
         texts = pa.array([t for _, t in items], pa.string())
         hashes: dict[int, list[int]] = {}
         for chunk in blocks.chunks(texts):
@@ -67,7 +71,7 @@ def _scan(chunk: blocks.Chunk, windows: WindowSet) -> list[dict]:
     found = blocks.words(chunk, blocks.ALPHANUMERIC)
     hashes = blocks.word_hashes(chunk, found, fold_case=True)
     hit = np.zeros(len(found.row), bool)
-    items: dict[int, set[int]] = {}
+    items: dict[int, set[int | str]] = {}
     for length, (keys, table) in windows.by_length.items():
         at = blocks.whole_runs(found, length)
         runs = blocks.run_hashes(hashes, length)[at]
@@ -93,10 +97,12 @@ def _scan(chunk: blocks.Chunk, windows: WindowSet) -> list[dict]:
     return out
 
 
-def _scanner(shared: Broadcast):
-    @F.arrow_udf(_SCHEMA)
+def _scanner(shared: Broadcast, text_ids: bool):
+    schema, kind = _result_type(text_ids)
+
+    @F.arrow_udf(schema)
     def scan(text: pa.Array) -> pa.Array:
-        return pa.array([r for c in blocks.chunks(text) for r in _scan(c, shared.value)], _TYPE)
+        return pa.array([r for c in blocks.chunks(text) for r in _scan(c, shared.value)], kind)
 
     return scan.asNondeterministic()
 
@@ -111,10 +117,10 @@ def _merge(spans: list[dict]) -> list[dict]:
     return merged
 
 
-def _parts(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def _parts(benchmark: DataFrame, item_col: str, text_col: str, text_ids: bool, max_bytes: int) -> Iterator[list[tuple[int | str, str]]]:
     """The items in parts of at most ``max_bytes`` of text (one item at least), streamed to the driver."""
     part, size = [], 0
-    items = benchmark.select(F.col(item_col).cast("long"), F.col(text_col)).where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
+    items = benchmark.select(F.col(item_col).cast("string" if text_ids else "long"), F.col(text_col)).where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
     for item, text in items.toLocalIterator():
         if part and size + len(text) > max_bytes:
             yield part
@@ -133,25 +139,28 @@ def decontaminate(
     Words are runs of ASCII letters, digits and characters beyond ASCII, ASCII letters in lower case. A window is
     ``window`` consecutive words of an item; an item with fewer words, but some, is one window. A document word inside any occurrence of
     a window is hit. Items without words, null items and null ids match nothing; equal windows of
-    several items name all of them. A null or empty text has no words. An empty benchmark hits nothing. Other columns pass
+    several items name all of them. Item ids that are no whole numbers come as text. A null or empty text has no words. An empty benchmark hits nothing. Other columns pass
     unchanged; a column named ``result_col`` is replaced.
     """
+    text_ids = not isinstance(benchmark.schema[item_col].dataType, IntegralType)
     out, found = docs, []
-    for k, part in enumerate(_parts(benchmark, item_col, item_text_col, max_bytes)):
+    for k, part in enumerate(_parts(benchmark, item_col, item_text_col, text_ids, max_bytes)):
         shared = docs.sparkSession.sparkContext.broadcast(WindowSet(part, window))
         found.append(blocks.free_name(out.columns, f"__{result_col}_{k}"))
-        out = out.withColumn(found[-1], _scanner(shared)(F.col(text_col)))
+        out = out.withColumn(found[-1], _scanner(shared, text_ids)(F.col(text_col)))
     if len(found) < 2:
         shared = shared if found else docs.sparkSession.sparkContext.broadcast(WindowSet([], window))
-        return docs.withColumn(result_col, _scanner(shared)(F.col(text_col)))
+        return docs.withColumn(result_col, _scanner(shared, text_ids)(F.col(text_col)))
+
+    schema, kind = _result_type(text_ids)
 
-    @F.arrow_udf(_SCHEMA)
+    @F.arrow_udf(schema)
     def joined(*results: pa.Array) -> pa.Array:
         rows = []
         for each in zip(*(r.to_pylist() for r in results)):
             spans = _merge([s for r in each for s in r["spans"]])
             rows.append({"n_words": each[0]["n_words"], "n_hit": sum(s["stop"] - s["start"] for s in spans), "items": sorted({i for r in each for i in r["items"]}), "spans": spans})
-        return pa.array(rows, _TYPE)
+        return pa.array(rows, kind)
 
     return out.withColumn(result_col, joined(*(F.col(c) for c in found))).drop(*found)
 
