@@ -30,8 +30,9 @@ def parsed(url: Column) -> tuple[Column, Column]:
 
 
 def key_of(host: Column) -> Column:
-    """Labels in reverse order, each followed by a character below all that hosts use."""
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "\x01"), F.lit("\x01"))
+    """Labels in reverse order, each followed by \\x01; where a host holds that character itself it is written in two others."""
+    plain = F.replace(F.replace(host, F.lit("\x02"), F.lit("\x02b")), F.lit("\x01"), F.lit("\x02a"))
+    return F.concat(F.array_join(F.reverse(F.split(plain, r"\.", -1)), "\x01"), F.lit("\x01"))
 
 
 def _sweep(default: str) -> Callable[[pa.Table], pa.Table]:
