@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from featloom.llm.decontaminate import contaminated, decontaminate, without_spans
 from featloom.llm.graph import components
 from featloom.llm.language_id import Training, fit, language_id, predict
-from featloom.llm.license_scan import license_scan
+from featloom.llm.license_scan import BASE, FILLERS, TEMPLATES, license_scan
 from featloom.llm.line_dedup import line_dedup
 from featloom.llm.line_quality import line_quality
 from featloom.llm.ngram_join import keep_one, ngram_join
@@ -108,6 +108,38 @@ def test_line_quality_rules(spark):
     assert not r[1]["quality"]["kept"] and r[1]["quality"]["clean_text"] == "The end of it."
 
 
+def test_line_quality_keeps_prose_of_other_scripts_and_about_software(spark):
+    chinese = "\n".join("\u8fd9\u662f \u4e00\u884c \u666e\u901a\u7684\u6587\u5b57\u3002" + chr(0x4E00 + i) + "\u3002" for i in range(40))
+    quoted = "\n".join(f"\u201cSaid {w} \u201d" if i % 2 else f"He said {w}\u2026" for i, w in enumerate(_words(40, 3)))
+    software = "\n".join(f"The module number {i} was written in JavaScript by {' '.join(_words(25, i))} of the team." for i in range(20))
+    headings = "\n".join(f"\u6587\u5b57\u6587\u5b57\u6587\u5b57\u6587\u5b57\u6587\u5b57{i}" for i in range(60))
+    rows = [(1, chinese, None), (2, quoted, None), (3, software, None), (4, headings, None)]
+    for r in line_quality(_docs(spark, rows)).collect():
+        assert r["quality"]["kept"] and r["quality"]["n_failed_lines"] == 0, r["doc_id"]
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "Home \u00bb News \u203a Sport \u2022 Weather of the day.",
+        "https://a.example/x www.b.example HTTP://c.example and more text.",
+        "Please enable JavaScript to see all of the many pages that are shown here.",
+        "You can log in now.",
+        "See our privacy policy.",
+        "\u6587\u5b57 short",
+    ],
+)
+def test_line_quality_removes(spark, line):
+    body = "".join(f"Line {i} holds the words {' '.join(_words(10, i))} and ends.\n" for i in range(10))
+    q = line_quality(_docs(spark, [(1, f"{body}{line}\n{body}x", None), (2, f"{line}", None)])).orderBy("doc_id").collect()
+    assert line not in q[0]["quality"]["clean_text"] and q[0]["quality"]["n_failed_lines"] == 2 and q[1]["quality"]["clean_text"] == ""
+
+
+def test_line_quality_keeps_words_that_hold_a_phrase(spark):
+    lines = "The blog in question.\nAssign in order, please.\nWe log in every morning and read what the others have written."
+    assert line_quality(_docs(spark, [(1, lines, None)])).first()["quality"]["n_failed_lines"] == 0
+
+
 def test_language_id_edges(spark, odd):
     rows = {r["doc_id"]: r["language"] for r in language_id(odd).collect() if r["doc_id"] is not None}
     assert all(rows[i]["lang_pred"] == "und" and rows[i]["score"] == 0 for i in (4, 5, 6, 10))
@@ -192,6 +224,55 @@ def test_license_scan_finds_a_notice_among_rarer_words(spark):
     assert got[3]["labels"] == ["mit"] and got[3]["score"] == 5 / 12
 
 
+def _best_templates(words):
+    """Labels and score by trying every alignment of every template whose key phrases stand in the words."""
+    padded, labels, score = f" {' '.join(words)} ", {label for phrase, label in BASE.items() if f" {phrase} " in f" {' '.join(words)} "}, 0.0
+    for t in TEMPLATES:
+        if not all(f" {k} " in padded for k in t.keys):
+            continue
+        own = t.text.split()
+        index = {w for w in own if w not in FILLERS}
+        most = max(len({w for p, w in enumerate(own) if w in index and 0 <= p + s < len(words) and words[p + s] == w}) for s in range(-len(own), len(words)))
+        if most >= 0.5 * min(8, len(index)):
+            labels.add(t.label)
+            score = max(score, most / len(index))
+    return sorted(labels), score
+
+
+@pytest.mark.parametrize("rare", [1, 3, 50])
+def test_license_labels_match_brute_force(spark, rare):
+    rng, rows = random.Random(4), []
+    for i in range(400):
+        t = rng.choice(TEMPLATES).text.split()
+        kind = i % 5
+        if kind == 1:  # cut short
+            low = rng.randrange(len(t))
+            t = t[low : low + rng.randrange(2, len(t) + 1)]
+        elif kind == 2:  # reworded
+            t = [w if rng.random() < 0.7 else rng.choice(_words(3, i)) for w in t]
+        elif kind == 3:  # two notices, and words of others between them
+            t = t[: rng.randrange(3, len(t) + 1)] + rng.choice(TEMPLATES).text.split()[::-1] + rng.choice(TEMPLATES).text.split()
+        rows.append((i, " ".join(_words(rng.randrange(20), i) + t + _words(5, i + 1)), None))
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan(_docs(spark, rows), rare=rare).collect()}
+    assert got == {i: _best_templates(text.split()) for i, text, _ in rows}
+
+
+def test_license_labels_of_documents_match_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan(docs).collect()}
+    for r in docs.collect():
+        words = re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))
+        assert got[r["doc_id"]] == _best_templates(words)
+
+
+def test_license_scan_lowers_ascii_only(spark):
+    r = license_scan(_docs(spark, [(1, "\u212aEY \u00c9T\u00c9 CC by", None)])).first()
+    assert r["n_words"] == 4 and r["base_places"] == [2]
+    # The Kelvin sign lowers to k in Unicode, which would make the license's word of it.
+    r = license_scan(_docs(spark, [(1, "licensed under gnu general public licen\u017fe", None)])).first()
+    assert r["base_places"] == []
+
+
 def test_license_base_places_match_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     phrases = [p.split() for p in ("cc by", "general public license", "all rights reserved")]
@@ -352,6 +433,20 @@ def test_url_filter_matches_brute_force(spark):
     assert url_filter(pages.limit(0), table).count() == 0
 
 
+def test_url_filter_takes_the_label_border_as_it_comes(spark):
+    pages = spark.createDataFrame([(1, "http://a\x01x.com/p"), (2, "http://x.com.a/p"), (3, "http://b.a.com/p"), (4, "http://\x02ax.com/p"), (5, "http://c.a\x01x.com/p")], "page_id long, url string")
+    rules = spark.createDataFrame([("a.com", "/", "block"), ("a\x01x.com", "/p", "block")], "host string, path string, verdict string")
+    assert {r["page_id"]: r["rule"] for r in url_filter(pages, rules).collect()} == {1: "a\x01x.com/p", 2: None, 3: "a.com/", 4: None, 5: "a\x01x.com/p"}
+
+
+def test_decontaminate_takes_text_ids(spark):
+    words = _words(40, 9)
+    items = spark.createDataFrame([("q-b", " ".join(words[:20])), ("q-a", " ".join(words[5:25])), (None, " ".join(words))], "item_id string, text string")
+    for max_bytes in (64 << 20, 10):
+        r = decontaminate(_docs(spark, [(1, " ".join(words), None)]), items, max_bytes=max_bytes).first()
+        assert r["overlap"]["items"] == ["q-a", "q-b"] and r["overlap"]["n_hit"] == 25
+
+
 def test_sha_of_kept_text_is_of_utf8(spark):
     row = substring_dedup(_docs(spark, [(1, "é  ü\nx", None)])).select(F.sha2("kept_text", 256).alias("s")).first()
     assert row["s"] == hashlib.sha256("é ü x".encode()).hexdigest()
