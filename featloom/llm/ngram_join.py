@@ -89,7 +89,7 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _signatures(docs: DataFrame, n: int, trees: int, depths: list[int]) -> DataFrame:
-    """(id, size, set hash in two parts, for each depth the prefix hash in each tree); texts without words are left out."""
+    """(id, hash of the text, set hash in two parts, for each depth the prefix hash in each tree); texts without words are left out."""
     deepest = max(depths)
     rng = np.random.Generator(np.random.PCG64(11))
     shift = rng.integers(0, 1 << 63, trees * deepest, dtype=np.uint64)
@@ -104,7 +104,6 @@ def _signatures(docs: DataFrame, n: int, trees: int, depths: list[int]) -> DataF
                 own = row[begin]
                 if not len(own):
                     continue
-                size = np.diff(np.append(begin, len(row)))
                 high = np.add.reduceat(blocks.mix(key ^ np.uint64(0x5851F42D4C957F2D)), begin)
                 low = np.add.reduceat(blocks.mix(key + np.uint64(0x14057B7EF767814F)), begin)
                 values = np.empty((len(own), trees * deepest), np.uint64)
@@ -116,23 +115,28 @@ def _signatures(docs: DataFrame, n: int, trees: int, depths: list[int]) -> DataF
                 for d in range(deepest):
                     state = blocks.mix(state * np.uint64(0x2127599BF4325C37) + values[:, :, d])
                     levels[d + 1] = state
-                columns = [ids.take(pa.array(chunk.low + own)), pa.array(size), pa.array(high.view(np.int64)), pa.array(low.view(np.int64))]
+                at = pa.array(chunk.low + own)
+                columns = [ids.take(at), batch.column(2).take(at), pa.array(high.view(np.int64)), pa.array(low.view(np.int64))]
                 for d in depths:
                     flat = pa.array(levels[d].view(np.int64).ravel())
                     columns.append(pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * trees), flat))
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "size", "set_a", "set_b", *(f"d{d}" for d in depths)])
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "set_a", "set_b", *(f"d{d}" for d in depths)])
 
-    return docs.mapInArrow(run, "id long, size long, set_a long, set_b long, " + ", ".join(f"d{d} array<long>" for d in depths))
+    return docs.mapInArrow(run, "id long, text_hash long, set_a long, set_b long, " + ", ".join(f"d{d} array<long>" for d in depths))
 
 
 def _compressed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            body = [pa.compress(b" ".join(c.text(r).split()), codec="zstd", asbytes=True) for c in blocks.chunks(batch.column(1)) for r in range(c.rows)]
-            size = [len(b" ".join(c.text(r).split())) for c in blocks.chunks(batch.column(1)) for r in range(c.rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(body, pa.binary())], names=["id", "bytes", "body"])
+            size, body = [], []
+            for chunk in blocks.chunks(batch.column(1)):
+                for r in range(chunk.rows):
+                    plain = b" ".join(chunk.text(r).split())
+                    size.append(len(plain))
+                    body.append(pa.compress(plain, codec="zstd", asbytes=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(body, pa.binary())], names=["id", "text_hash", "bytes", "body"])
 
-    return docs.mapInArrow(run, "id long, bytes long, body binary")
+    return docs.mapInArrow(run, "id long, text_hash long, bytes long, body binary")
 
 
 def _plain(body: bytes, size: int) -> bytes:
@@ -271,6 +275,14 @@ def _mixed_nodes(cells: DataFrame) -> DataFrame:
     return cells.join(mixed.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "key")
 
 
+def _numbered(sets: DataFrame) -> DataFrame:
+    """Sets with ``copy_of`` and a number ``id``: the smallest id of their rows, and where several sets have that id, a hash of the set for all but one."""
+    sets = materialise(sets.withColumn("copy_of", F.col("first.id")), "sets")
+    of_one_id = sets.groupBy("copy_of").agg(F.count("*").alias("n"), F.min(F.struct("set_a", "set_b")).alias("keeps")).where("n > 1").select("copy_of", "keeps")
+    own = F.col("keeps").isNull() | (F.struct("set_a", "set_b") == F.col("keeps"))
+    return sets.join(of_one_id, "copy_of", "left").withColumn("id", F.when(own, F.col("copy_of")).otherwise(F.xxhash64("set_a", "set_b"))).drop("keeps")
+
+
 def ngram_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, trees: int = TREES, deep: int = DEEP
 ) -> DataFrame:
@@ -279,24 +291,30 @@ def ngram_join(
     Two texts are linked if the Jaccard similarity of their sets of ``n`` consecutive words is ``threshold`` or more.
     ``copy_of`` is the smallest id with an equal set, ``n_copies`` the number of such rows; ``class_id`` is the smallest
     id reachable over links and copies; ``n_links`` the number of different texts (sets) of its class linked with this one. A text of fewer than ``n`` words, but some, is one n-gram.
-    A null or empty text, or one without words, is a class of its own without links. A null id gets null columns and joins nothing. Rows with
-    the same id should have the same text; equal rows are copies. Other columns are not read.
+    A null or empty text, or one without words, is a class of its own without links. A null id gets null columns and joins nothing. Equal rows
+    are copies. Rows of one id with different texts are judged each by its own text, so classes that have nothing else in common may
+    bear the same id. Other columns are not read.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    known = source.where("id is not null and text is not null")
+    known = source.where("id is not null and text is not null").withColumn("text_hash", F.xxhash64("text"))
     least = smallest_depth(threshold, trees, recall)
     depths = [max(deep, least), least] if deep > least else [least]
     signed = materialise(_signatures(known, n, trees, depths), "signed")
-    sets = materialise(signed.groupBy("set_a", "set_b").agg(F.min("id").alias("copy_of"), F.count("*").alias("n_copies")), "sets")
-    members = materialise(signed.select("id", "set_a", "set_b").join(sets, ["set_a", "set_b"]).select("id", "copy_of", "n_copies"), "members")
-    first = signed.join(sets.select(F.col("copy_of").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    first = materialise(first.select("id", *(f"d{d}" for d in depths)), "first")
+    sets = materialise(_numbered(signed.groupBy("set_a", "set_b").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.count("*").alias("n_copies"))), "sets")
+    members = materialise(signed.select(F.col("id").alias("own"), "set_a", "set_b").join(sets, ["set_a", "set_b"]).select("own", "id", "copy_of", "n_copies"), "members")
+    # From here on ``id`` is the number of a set; its text is that of the row ``copy_of`` with the hash ``text_hash``.
+    ours = sets.select("id", F.col("copy_of").alias("row_id"), F.col("first.text_hash").alias("text_hash"), "set_a", "set_b")
+    prefixes = signed.select(F.col("id").alias("row_id"), "text_hash", "set_a", "set_b", *(f"d{d}" for d in depths))
+    first = ours.join(prefixes, ["row_id", "text_hash", "set_a", "set_b"]).dropDuplicates(["id"])
+    first = materialise(first.select("id", "row_id", "text_hash", *(f"d{d}" for d in depths)), "first")
 
     shared = first.select("id", F.explode(f"d{least}").alias("key"))
     often = shared.groupBy("key").count().where("count > 1").select("key")
     candidates = shared.join(often, "key", "left_semi").select("id").distinct()
     candidates = materialise(candidates, "candidates")
-    once = _compressed(known).join(candidates, "id").dropDuplicates(["id"])
+    wanted = first.select("id", "row_id", "text_hash").join(candidates, "id", "left_semi")
+    texts = _compressed(known).withColumnRenamed("id", "row_id").join(wanted, ["row_id", "text_hash"])
+    once = texts.select("id", "bytes", "body").dropDuplicates(["id"])
     bodies = materialise(once, "bodies")
 
     known_class = candidates.select("id", F.col("id").alias("label"))
@@ -310,14 +328,19 @@ def ngram_join(
     classes = _merged(known_class, joined).withColumnRenamed("label", "key")
     several = classes.groupBy("key").count().where("count > 1").select("key")
     n_links = _number_of_links(classes.join(several, "key").withColumn("label", F.col("key")), bodies, n, threshold)
-    by_text = classes.join(n_links, "id", "left").select(F.col("id").alias("copy_of"), F.col("key").alias("class"), "n_links")
-    found = members.join(materialise(by_text, "by_text"), "copy_of", "left").select("id", F.coalesce("class", "copy_of").alias("class_id"), "copy_of", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    # A class is named by the smallest id of its rows.
+    named = classes.join(sets.select("id", "copy_of"), "id").groupBy("key").agg(F.min("copy_of").alias("class"))
+    by_text = classes.join(n_links, "id", "left").join(named, "key").select("id", "class", "n_links")
+    found = members.join(materialise(by_text, "by_text"), "id", "left").select(F.col("own").alias("id"), F.coalesce("class", "copy_of").alias("class_id"), "copy_of", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     rest = source.where("id is null or text is null or not text rlike '[^ \\\\t-\\\\r]'").select("id", F.col("id").alias("class_id"), F.col("id").alias("copy_of"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
     return found.union(rest).withColumnRenamed("id", id_col)
 
 
 def keep_one(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents of a class other than its smallest id; rows without an id stay. Columns pass unchanged."""
+    """``docs`` without the documents of a class other than its smallest id; rows without an id stay. Columns pass unchanged.
+
+    Rows of one id go or stay together: they stay if one of them is the kept one of its class.
+    """
     lost = blocks.free_name(docs.columns, "__gone")
-    gone = joined.where(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias(lost)).distinct()
+    gone = joined.groupBy(F.col(id_col).alias(lost)).agg(F.min(F.col("class_id") != F.col(id_col)).alias("all_gone")).where("all_gone").select(lost)
     return docs.join(gone, docs[id_col] == F.col(lost), "left_anti")
