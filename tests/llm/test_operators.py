@@ -306,6 +306,18 @@ def test_ngram_join_edges(spark, odd):
     assert ngram_join(odd.limit(0)).count() == 0
 
 
+def test_ngram_join_loses_no_text_of_a_repeated_id(spark):
+    x, y, z = (_words(80, seed) for seed in (31, 32, 33))
+    near = y[:]
+    near[40] = "changed"
+    rows = [(1, x), (2, x), (2, y), (3, y), (4, z), (5, near), (2, z)]
+    docs = _docs(spark, [(i, " ".join(w), None) for i, w in rows])
+    got = sorted(tuple(r) for r in ngram_join(docs).select("doc_id", "class_id", "copy_of", "n_copies", "n_links").collect())
+    assert got == [(1, 1, 1, 2, 0), (2, 1, 1, 2, 0), (2, 2, 2, 2, 0), (2, 2, 2, 2, 1), (3, 2, 2, 2, 1), (4, 2, 2, 2, 0), (5, 2, 5, 1, 1)]
+    kept = keep_one(docs, ngram_join(docs))
+    assert {" ".join(w) for w in (x, y, z)} <= {r["text"] for r in kept.collect()} and {r["doc_id"] for r in kept.collect()} == {1, 2}
+
+
 def test_ngram_join_holds_a_large_group_together(spark):
     base = _words(300, 9)
     rows = []
