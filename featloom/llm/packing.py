@@ -160,6 +160,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     path = vocabulary or tokens.vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What earlier tasks of this worker left in Arrow's pool.
+        pa.default_memory_pool().release_unused()
         coder = tokens.encoder(path)
         task = TaskContext.get()
         packer = _Packer(capacity, piece, block, (task.partitionId() if task else 0) << 36)
