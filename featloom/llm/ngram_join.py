@@ -312,9 +312,10 @@ def ngram_join(
     often = shared.groupBy("key").count().where("count > 1").select("key")
     candidates = shared.join(often, "key", "left_semi").select("id").distinct()
     candidates = materialise(candidates, "candidates")
-    # Written, so that its size is known before the texts are read: few candidates spare the shuffle of all texts.
     wanted = materialise(first.select("id", "row_id", "text_hash").join(candidates, "id", "left_semi"), "wanted")
-    texts = _compressed(known).withColumnRenamed("id", "row_id").join(wanted, ["row_id", "text_hash"])
+    # Row ids alone are a smaller table than the wanted rows; where Spark finds it small enough, the other texts are not shuffled.
+    row_ids = materialise(wanted.select("row_id").distinct(), "row_ids")
+    texts = _compressed(known).withColumnRenamed("id", "row_id").join(row_ids, "row_id", "left_semi").join(wanted, ["row_id", "text_hash"])
     once = texts.select("id", "bytes", "body").dropDuplicates(["id"])
     bodies = materialise(once, "bodies")
 
