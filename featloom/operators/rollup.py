@@ -8,10 +8,11 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featloom.functions.values import flag
+from featloom.operators.summaries import numeric_summaries, summarisable
 from featloom.workspace import materialise
 
 # SQL text keeps plan building cheap for specs with hundreds of outputs.
@@ -248,9 +249,21 @@ def rollup_subsets_by_join(
 
 def summarise_all(df: DataFrame, key: str, functions: Sequence[str], prefix: str = "",
                   drop: Sequence[str] = (), count_as: str | None = None) -> DataFrame:
-    """Every remaining column through every function."""
+    """Every remaining column through every function.
+
+    With distinct counts, numeric columns come from one histogram of their values, whatever their number; without, one
+    hashed pass over the columns as they are is less work.
+    """
     columns = [c for c in df.columns if c != key and c not in drop]
-    return rollup(df, RollupSpec(key, prefix, {c: list(functions) for c in columns}, {}, count_as))
+    numeric = summarisable(df, columns) if "nunique" in functions else []
+    others = [c for c in columns if c not in numeric]
+    if not numeric:
+        return rollup(df, RollupSpec(key, prefix, {c: list(functions) for c in columns}, {}, count_as))
+    out = numeric_summaries(df, key, numeric, functions, prefix, count_as)
+    if others:
+        out = out.join(rollup(df, RollupSpec(key, prefix, {c: list(functions) for c in others})), key)
+    order = [f"{prefix}{c}_{f.upper()}" for c in columns for f in functions]
+    return out.select(key, *[quoted(c) for c in order], *([count_as] if count_as else []))
 
 
 def first_and_last(
