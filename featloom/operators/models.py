@@ -168,7 +168,7 @@ def kfold_fit(
     else:
         labelled = kfold(labelled, key, k, seed, FOLD)
     unlabelled = vectors.where(F.col(LABEL).isNull())
-    names = vector_names(vectors)
+    names = vector_names(vectors) if with_importance else []
 
     def fit_fold(fold: int) -> tuple[list[DataFrame], DataFrame | None, Stop | None]:
         train = labelled.where(F.col(FOLD) != fold).drop(FOLD)

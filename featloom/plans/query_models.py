@@ -37,6 +37,8 @@ from featloom.operators.selection import (
     shadow_selection,
     vector_components,
 )
+from featloom.operators.rollup import category_shares
+from featloom.operators.sparse import SparseTable, sparse_vector_table
 from featloom.operators.staged import Ensemble, early_stop, staged_auc, staged_margins
 from featloom.plans.fixtures import DOCS_SQL, TEXT_FEATURES, labelled_documents
 from featloom.plans.registry import hash32_sql, query
@@ -253,3 +255,48 @@ def pca_variance(spark, folder):
     scores, _ = vector_components(vectors, "v", width, "c")
     long = scores.select(F.posexplode(vector_to_array("c")).alias("i", "x"))
     return long.groupBy("i").agg(F.var_samp("x").alias("s")).agg(F.round(F.sum("s"), 4).alias("total_variance"))
+
+
+@query(
+    "sparse_category_entries",
+    """
+WITH c AS (SELECT o_custkey, unnest([struct_pack(c := 'day', v := strftime(o_orderdate, '%Y-%m-%d')), struct_pack(c := 'priority', v := CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END)]) AS s FROM orders),
+n AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
+slots AS (SELECT c, v, row_number() OVER (ORDER BY c, v NULLS FIRST) AS slot FROM (SELECT DISTINCT s.c AS c, s.v AS v FROM c)),
+shares AS (SELECT o_custkey, s.c AS c, s.v AS v, count(*)::DOUBLE / any_value(n) AS share FROM c JOIN n USING (o_custkey) GROUP BY ALL)
+SELECT c_custkey AS o_custkey, 0::INTEGER AS slot, round(c_acctbal, 6) AS value FROM customer WHERE c_acctbal <> 0
+UNION ALL SELECT o_custkey, slot::INTEGER, round(share, 6) FROM shares JOIN slots ON slots.c = shares.c AND slots.v IS NOT DISTINCT FROM shares.v
+  JOIN customer ON c_custkey = o_custkey""",
+)
+def sparse_category_entries(spark, folder):
+    """What the vectors of customers hold: the balance, then a slot for every day and priority of their orders."""
+    orders = table(spark, folder, "orders").select(
+        "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority")
+    )
+    base = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", (F.col("c_nationkey") % 2).alias("label"))
+    shares = category_shares(orders, "o_custkey", ["day", "priority"])
+    entries = sparse_vector_table(base, "o_custkey", ["c_acctbal"], "label", shares).entries()
+    return entries.withColumn("value", F.round("value", 6))
+
+
+def document_words(spark, folder) -> SparseTable:
+    """Text measures, and the share of every word of a document in a slot of its own."""
+    docs = labelled_documents(spark, folder)
+    words = table(spark, folder, "documents").select("doc_id", F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
+    return sparse_vector_table(docs, KEY, TEXT_FEATURES, "quality", category_shares(words, KEY, ["word"]))
+
+
+@query(
+    "sparse_kfold_coverage",
+    f"""WITH {DOCS_SQL}, f AS (SELECT doc_id, quality, ({hash32_sql('doc_id', 1001)} % 3) AS own FROM docs),
+x AS (SELECT k.fold::INTEGER AS fold, CASE WHEN quality IS NULL THEN 'test' WHEN own = k.fold THEN 'valid' ELSE 'train' END AS part, doc_id
+  FROM f, range(3) AS k(fold))
+SELECT fold, part, count(*) AS n, sum(doc_id)::BIGINT AS id_sum, count(*) AS in_range FROM x GROUP BY fold, part""",
+)
+def sparse_kfold_coverage(spark, folder):
+    """Boosted trees over every word of the documents, without a cap on the words."""
+    recipe = Recipe(boosted_trees, {"maxIter": 3, "maxDepth": 3, "maxBins": 8}, 1001)
+    stacked = kfold_fit(document_words(spark, folder).vectors, KEY, recipe, 3, 1001, False).stacked
+    return stacked.groupBy("fold", "part").agg(
+        F.count("*").alias("n"), F.sum(KEY).alias("id_sum"), F.count_if(F.col("score").between(0, 1)).alias("in_range")
+    )
