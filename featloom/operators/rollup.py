@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featloom.functions.values import flag
+from featloom.operators.places import packed_period, packed_place
 from featloom.operators.summaries import numeric_summaries, summarisable
 from featloom.workspace import materialise
 
@@ -269,13 +270,18 @@ def summarise_all(df: DataFrame, key: str, functions: Sequence[str], prefix: str
 def first_and_last(
     df: DataFrame, key: str, value: str, order_by: Sequence[str], first: str, last: str
 ) -> DataFrame:
-    """First and last non-null value per key in an explicit, total order."""
-    place = F.struct(*order_by)
-    return (
-        df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-        .groupBy(key)
-        .agg(F.min_by(value, place).alias(first), F.max_by(value, place).alias(last))
-    )
+    """First and last non-null value per key in an explicit, total order.
+
+    Order and value are packed in one number where they fit, so that rows are aggregated by hash before they are shuffled; equal places
+    go by value. Other orders compare the columns, which sorts the rows.
+    """
+    known = df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).select(key, *dict.fromkeys(c for c in (value, *order_by) if c != key))
+    packed = packed_place(known, order_by, value)
+    if packed is None:
+        place = F.struct(*order_by)
+        return known.groupBy(key).agg(F.min_by(value, place).alias(first), F.max_by(value, place).alias(last))
+    ends = known.groupBy(key).agg(F.min(packed.place).alias("__first"), F.max(packed.place).alias("__last"))
+    return ends.select(key, packed.value_at("__first").alias(first), packed.value_at("__last").alias(last))
 
 
 def status_history(
@@ -288,22 +294,30 @@ def status_history(
     non_zero: Sequence[Any],
     tie_break: Sequence[str] = (),
     also: Sequence[Column] = (),
+    statuses: Sequence[Any] | None = None,
 ) -> DataFrame:
     """Life of a loan from its periodic status, in one group-by.
 
     ``period`` is a negative offset, so the smallest value is the oldest row.
     Status counts are null for a status that never occurs. ``also`` adds further
-    aggregates to the same group-by.
+    aggregates to the same group-by. With ``statuses``, all that can occur, the first and the last one are taken by hash
+    from a packed number; rows of one period go by the order of that list, and ``tie_break`` must be left out.
     """
-    place = F.struct(period, *tie_break)
-    known = F.when(F.col(status).isNotNull(), place)
+    if statuses is not None and tie_break:
+        raise ValueError("rows of one period go either by tie_break or by the order of statuses")
+    listed = [s for s in statuses or () if s is not None]
+    if statuses is None:
+        known = F.when(F.col(status).isNotNull(), F.struct(period, *tie_break))
+        ends = [F.min_by(status, known).alias("First_status"), F.max_by(status, known).alias("Last_status")]
+    else:
+        packed = packed_period(period, status, listed, df.schema[status].dataType)
+        ends = [packed.value_at(f(packed.place)).alias(n) for n, f in (("First_status", F.min), ("Last_status", F.max))]
     at_status = lambda s: F.coalesce(F.col(status) == F.lit(s), F.lit(False))
     facts = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(
-            F.min_by(status, known).alias("First_status"),
-            F.max_by(status, known).alias("Last_status"),
+            *ends,
             F.abs(F.min(period)).alias("Month"),
             F.abs(F.min(F.when(at_status(closed), F.col(period)))).alias("When_closed"),
             *[F.nullif(F.count_if(at_status(s)), F.lit(0)).alias(f"DPD_{s}_cnt") for s in counted],

@@ -127,7 +127,7 @@ def bureau_balance(balance: DataFrame) -> DataFrame:
         spec.STATUS_CLOSED,
         spec.STATUS_COUNTED,
         spec.STATUS_LATE,
-        tie_break=["STATUS"],
+        statuses=statuses,
         also=[
             F.min("MONTHS_BALANCE").alias("MONTHS_BALANCE_MIN"),
             F.max("MONTHS_BALANCE").alias("MONTHS_BALANCE_MAX"),
