@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featloom.workspace import lookup_join, materialise
+from featloom.workspace import lookup_join, materialise, small_or_none
 
 PART = "__part"
 PLACE = "__place"
@@ -51,8 +51,9 @@ def exact_rank(
     offsets = parts.select(
         *group, PART, (_before("__n", ordered) - F.col("__first")).alias("__offset")
     )
-    # Offsets are one row per group and partition: broadcast when few, else joined by shuffle.
-    joined = lookup_join(placed, offsets, [*group, PART])
+    # Offsets are one row per partition, or per group and partition: broadcast when few, else joined by shuffle.
+    small = None if by else small_or_none(offsets)
+    joined = lookup_join(placed, offsets, [*group, PART]) if small is None else placed.join(F.broadcast(small), PART, "left")
     return joined.withColumn(out, F.col(PLACE) + F.col("__offset")).drop(*group, PLACE, PART, "__offset")
 
 

@@ -9,11 +9,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_TABLE_ROWS = 100_000
+SMALL_TABLE_BYTES = 32 << 20
+VALUE_BYTES = 16
+FIXED_TYPES = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+SHARD, NULL_KEY_SHARDS = "__shard", 4096
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,15 +61,32 @@ def small_or_none(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame
     return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
+def _measured_bytes(df: DataFrame) -> Column:
+    """Aggregate: bytes of the rows as values, not as files, where repeated text hardly counts."""
+    long_values = [F.octet_length(F.col(f"`{f.name}`").cast("string")) for f in df.schema if not isinstance(f.dataType, FIXED_TYPES)]
+    row = sum((F.coalesce(v, F.lit(0)).cast("long") for v in long_values), F.lit(VALUE_BYTES * len(df.columns)).cast("long"))
+    return F.coalesce(F.sum(row), F.lit(0))
+
+
 def lookup_join(
-    df: DataFrame, lookup: DataFrame, on: list[str], max_rows: int = SMALL_TABLE_ROWS
+    df: DataFrame, lookup: DataFrame, on: list[str], max_rows: int = SMALL_TABLE_ROWS, max_bytes: int = SMALL_TABLE_BYTES
 ) -> DataFrame:
-    """Left join to a table with unique ``on``: broadcast when it is proven small.
+    """Left join to a table with unique ``on``: broadcast when it is proven small, in rows and in bytes.
 
-    A larger lookup is written once and joined by shuffle, where adaptive
-    execution splits the partitions of hot keys.
+    The lookup runs once, by all tasks: its rows and bytes are counted while it is written. A larger one is joined by shuffle, where
+    adaptive execution splits the partitions of hot keys; rows with a null key, which match nothing, are dealt out by a hash of the row,
+    so that they don't meet in one task.
     """
-    small = small_or_none(lookup, max_rows)
-    if small is not None:
-        return df.join(F.broadcast(small), on, "left")
-    return df.join(materialise(lookup, "lookup"), on, "left")
+    size = Observation()
+    # The shard is a written column, since a literal would be folded out of the keys the rows are dealt by.
+    sharded = lookup.withColumn(SHARD, F.lit(0))
+    written = materialise(sharded.observe(size, F.count(F.lit(1)).alias("rows"), _measured_bytes(lookup).alias("bytes")), "lookup")
+    # An empty result may be written without running the observed step; nothing is small.
+    measured = size.get
+    if (measured.get("rows") or 0) <= max_rows and (measured.get("bytes") or 0) <= max_bytes:
+        return df.join(F.broadcast(written.drop(SHARD)), on, "left")
+    unmatched = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in on])
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(NULL_KEY_SHARDS)).cast("int") + 1
+    keyed = df.withColumn(SHARD, F.when(unmatched, spread).otherwise(0))
+    # The hint keeps the optimiser from broadcasting by the size of the files.
+    return keyed.join(written.hint("merge"), [*on, SHARD], "left").drop(SHARD)
