@@ -185,3 +185,10 @@ def test_search_stays_in_bounds_and_repeats(vectors):
     first = search_parameters(vectors, "k", boosted_trees, bounds, 2, fixed={"maxIter": 2})
     assert all(0.05 <= p["stepSize"] <= 0.1 and p["maxDepth"] in (2, 3) for p, _ in first)
     assert first[0][1] >= first[1][1]
+
+
+def test_a_forest_scores_rows_and_gives_its_importances(vectors):
+    """The forest's training summary must not ride along into the tasks that score and write."""
+    assert not FOREST.fit(vectors.where("label IS NOT NULL")).hasSummary
+    ranked = actual_importance(vectors, FOREST)
+    assert ranked.where("run = 0 AND train_auc > 0.5").count() == len(vector_names(vectors))
