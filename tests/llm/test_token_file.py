@@ -89,3 +89,23 @@ def test_query_matches_plain_encoding(spark):
         want.append((row["doc_id"], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, op12_token_file(spark, sf_dir).collect())) == want
+
+
+def test_the_word_encoder_starts_no_threads_of_its_own():
+    """Spark gives each task a core: encoding in a worker leaves its thread count as it was."""
+    import os
+    import subprocess
+    import sys
+
+    script = (
+        "import os\n"
+        "from featloom.llm import tokens\n"
+        "coder = tokens.word_encoder(tokens.vocabulary_path('word_bpe_49k.json'))\n"
+        "before = len(os.listdir('/proc/self/task'))\n"
+        "coder.ids([f'word{i} other{i % 7}, Mixed{i}! x{i}y'.encode() for i in range(5000)])\n"
+        "print(before, len(os.listdir('/proc/self/task')))\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    done = subprocess.run([sys.executable, "-c", script], env=env, capture_output=True, text=True, check=True, timeout=300)
+    before, after = map(int, done.stdout.split())
+    assert after == before
