@@ -25,6 +25,7 @@ from featloom.operators.separation import (
     train_test_drift,
     weak_features,
 )
+from featloom.plans import query_models
 
 
 @pytest.fixture(scope="module")
@@ -158,6 +159,28 @@ def test_null_importance_separates_signal_from_noise(vectors):
     assert percent["signal"] == 100.0
 
 
+def test_null_runs_are_read_in_one_scan(vectors):
+    """However many runs, their nodes are one table: no plan branch, no broadcast and no model is kept per run."""
+    runs = importance_runs(vectors, "k", FOREST, [1, 2, 3], parallel=2)
+    assert "Union" not in runs._jdf.queryExecution().optimizedPlan().toString()
+    found = [(r["run"], r["feature"]) for r in runs.collect()]
+    assert sorted(found) == sorted((run, f) for run in (1, 2, 3) for f in vector_names(vectors))
+    assert runs.where("train_auc IS NULL").count() == 0 and runs.agg(F.min("gain")).first()[0] >= 0
+
+
+def test_the_null_importance_query_fits_whole_forests(spark, vectors, monkeypatch):
+    """80 runs of 200 trees of depth 8, as in the work it stands for, and the same forest for the actual importance."""
+    fitted = []
+    monkeypatch.setattr(query_models, "document_vectors", lambda *_: vectors)
+    monkeypatch.setattr(query_models, "importance_runs", lambda v, key, recipe, seeds, parallel: fitted.append((recipe, len(seeds))))
+    monkeypatch.setattr(query_models, "actual_importance", lambda v, recipe: fitted.append((recipe, 1)))
+    monkeypatch.setattr(query_models, "null_importance_log_score", lambda *_: None)
+    query_models.null_importance_runs(spark, "")
+    assert sorted(n for _, n in fitted) == [1, 80]
+    for recipe, _ in fitted:
+        assert recipe.params["numTrees"] == 200 and recipe.params["maxDepth"] == 8 and recipe.params["subsamplingRate"] == 0.623
+
+
 def test_shadow_rounds_hit_the_signal(planted):
     recipe = Recipe(forest, {"numTrees": 10, "maxDepth": 4}, 3, balanced=True)
     state = shadow_selection(planted, "k", FEATURES, "y", recipe, rounds=2)
