@@ -48,7 +48,7 @@ from featloom.operators.rollup import (
 )
 from featloom.plans import credit_spec as spec
 from featloom.sources.tables import first_rows
-from featloom.workspace import materialise
+from featloom.workspace import discard, materialise, settle
 
 KEY, LOAN, PREVIOUS, LABEL = spec.KEY, spec.LOAN, spec.PREVIOUS, spec.LABEL
 IDS = (KEY, LOAN, PREVIOUS)
@@ -321,53 +321,62 @@ def with_codes(df: DataFrame) -> DataFrame:
     return df
 
 
-def summary(df: DataFrame, key: str, prefix: str, drop: Sequence[str] = ()) -> DataFrame:
+def summary(df: DataFrame, key: str, prefix: str, drop: Sequence[str] = (), settled: bool = False) -> DataFrame:
+    """``settled`` writes the rollup and lets its detail rows go, for a caller that goes on to other tables."""
     coded = materialise(with_codes(df), "detail")
-    return summarise_all(coded, key, spec.SUMMARY_FUNCTIONS, prefix, drop)
+    rolled = summarise_all(coded, key, spec.SUMMARY_FUNCTIONS, prefix, drop)
+    return settle(rolled, "rollup", coded) if settled else rolled
 
 
 STABLE_DIGITS = 6
 
 
-def summary_bureau(loans: DataFrame, balance: DataFrame) -> DataFrame:
-    months = summary(balance, LOAN, "BAL_")
+def summary_bureau(loans: DataFrame, balance: DataFrame, settled: bool = False) -> DataFrame:
+    of_loans = summary(balance, LOAN, "BAL_", settled=settled)
     # The last bits of a deviation depend on the order of its sum; the distinct count must not.
-    months = months.withColumns({c: F.round(c, STABLE_DIGITS) for c in months.columns if c.endswith("_STD")})
-    return summary(loans.join(months, LOAN, "left"), KEY, "BUR_", [LOAN])
+    months = of_loans.withColumns({c: F.round(c, STABLE_DIGITS) for c in of_loans.columns if c.endswith("_STD")})
+    rolled = summary(loans.join(months, LOAN, "left"), KEY, "BUR_", [LOAN], settled)
+    if settled:
+        discard(of_loans)
+    return rolled
 
 
-def summary_previous(prev: DataFrame) -> DataFrame:
+def summary_previous(prev: DataFrame, settled: bool = False) -> DataFrame:
     df = apply_null_rules(prev, spec.PREVIOUS_SENTINELS)
-    return summary(df.withColumn("APP_CREDIT_PERC", ratio("AMT_APPLICATION", "AMT_CREDIT")), KEY, "PRE_", [PREVIOUS])
+    return summary(df.withColumn("APP_CREDIT_PERC", ratio("AMT_APPLICATION", "AMT_CREDIT")), KEY, "PRE_", [PREVIOUS], settled)
+
+
+ORGANIZATION, INCOME_BY_ORGANIZATION = "ORGANIZATION_TYPE", "NEW_INC_BY_ORG"
 
 
 def summary_formulas(df: DataFrame, documents: Sequence[str], live: Sequence[str]) -> DataFrame:
-    """Row features of the joined table; the missing count covers the rollups as well."""
-    df = with_missing_count(df, "na", LABEL)
+    """Row features of the joined table, which brings its median lookup; the missing count covers the rollups as well."""
+    df = df.withColumn("na", rw.row_null_count([c for c in df.columns if c not in (LABEL, INCOME_BY_ORGANIZATION)]))
     df = apply_null_rules(df, [r for r in spec.APPLICATION_NULLS if r.column == "DAYS_EMPLOYED"])
     df = with_formulas(df, spec.SUMMARY_APPLICATION_FEATURES)
     df = rw.with_row_kurtosis_moment(df, list(documents), "DOC_IND_KURT")
     df = df.withColumn("LIVE_IND_SUM", rw.row_sum(list(live), skip_nulls=False))
-    df = group_median_lookup(df, "ORGANIZATION_TYPE", "AMT_INCOME_TOTAL", "NEW_INC_BY_ORG")
+    rest = [c for c in df.columns if c not in (ORGANIZATION, INCOME_BY_ORGANIZATION)]
+    df = df.select(*[quoted(c) for c in (ORGANIZATION, *rest, INCOME_BY_ORGANIZATION)])
     df = df.withColumn("NEW_EXT_SOURCES_MEAN", rw.row_mean(spec.SOURCES, skip_nulls=False))
     df = rw.with_row_std(df, spec.SOURCES, "NEW_SCORES_STD", skip_nulls=False)
     return non_finite_to_null(df)
 
 
 def summary_application(train: DataFrame, test: DataFrame, rollups: Sequence[DataFrame] = ()) -> DataFrame:
-    base = with_codes(stack_labelled(train, test))
+    base = materialise(with_codes(stack_labelled(train, test)), "application")
     documents, live = document_flags(base), columns_matching(base, "FLAG_", "FLAG_DOC")
-    wide = materialise(star_join(base, rollups, KEY), "summary")
-    return summary_formulas(wide, documents, live)
+    # The lookup reads the applicants alone; after the joins it would need the wide rows written or joined twice.
+    base = group_median_lookup(base, ORGANIZATION, "AMT_INCOME_TOTAL", INCOME_BY_ORGANIZATION)
+    return summary_formulas(star_join(base, rollups, KEY), documents, live)
 
 
 def summary_features(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rollups are settled one after another, the largest detail first, so that the disk holds one table's shuffles at a time."""
     payments = with_payment_features(tables["installments_payments"], null_as_zero=False)
-    rollups = [
-        summary_bureau(tables["bureau"], tables["bureau_balance"]),
-        summary(tables["credit_card_balance"], KEY, "CARD_", [PREVIOUS]),
-        summary(payments, KEY, "PAY_", [PREVIOUS]),
-        summary(tables["POS_CASH_balance"], KEY, "POS_", [PREVIOUS]),
-        summary_previous(tables["previous_application"]),
-    ]
-    return summary_application(tables["application_train"], tables["application_test"], rollups)
+    card = summary(tables["credit_card_balance"], KEY, "CARD_", [PREVIOUS], settled=True)
+    of_bureau = summary_bureau(tables["bureau"], tables["bureau_balance"], settled=True)
+    paid = summary(payments, KEY, "PAY_", [PREVIOUS], settled=True)
+    previous = summary_previous(tables["previous_application"], settled=True)
+    pos = summary(tables["POS_CASH_balance"], KEY, "POS_", [PREVIOUS], settled=True)
+    return summary_application(tables["application_train"], tables["application_test"], [of_bureau, card, paid, pos, previous])

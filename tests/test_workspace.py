@@ -4,6 +4,14 @@ import os
 import subprocess
 import sys
 
+import pytest
+from pyspark.sql import functions as F
+
+from featloom.plans import credit
+from featloom.plans.credit_roles import credit_tables
+from featloom.sources.tables import table
+from featloom.workspace import discard, materialise, settle, shared_dir
+
 SCRIPT = """
 import glob, sys
 from pyspark.sql import SparkSession
@@ -25,3 +33,28 @@ def test_named_checkpoint_folder_is_used(tmp_path):
     env = {**os.environ, "PYTHONPATH": root}
     done = subprocess.run([sys.executable, "-c", SCRIPT, str(tmp_path)], env=env, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_settled_tables_let_go_of_what_they_were_made_from(spark):
+    detail = materialise(spark.range(10).withColumn("x", F.lit(1.0)), "detail")
+    folder = detail.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    out = settle(detail.groupBy((F.col("id") % 2).alias("k")).agg(F.sum("x").alias("x")), "rollup", detail)
+    assert not os.path.exists(folder) and sorted(map(tuple, out.collect())) == [(0, 5.0), (1, 5.0)]
+
+
+def test_only_written_tables_are_discarded(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/own")
+    with pytest.raises(ValueError):
+        discard(spark.read.parquet(f"{tmp_path}/own"))
+    assert spark.read.parquet(f"{tmp_path}/own").count() == 3
+
+
+def test_the_summary_set_keeps_no_detail_rows(spark):
+    """The rollups are written one after another; neither their detail rows nor the joined wide rows stay on disk."""
+    top = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(top))
+    wide = credit.summary_features(credit_tables(spark, "/root/testdata/sf0.001"))
+    left = sorted(name.split("-")[0] for name in set(os.listdir(top)) - before)
+    assert left.count("rollup") == 5 and "detail" not in left and "summary" not in left
+    assert wide.count() == table(spark, "/root/testdata/sf0.001", "customer").count()
+    assert wide.columns.index("NEW_INC_BY_ORG") == wide.columns.index("LIVE_IND_SUM") + 1 and wide.columns[:2] == ["ORGANIZATION_TYPE", "SK_ID_CURR"]
