@@ -9,7 +9,7 @@ rollup then read columns instead of parsing the source again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +48,7 @@ from featloom.operators.rollup import (
 )
 from featloom.plans import credit_spec as spec
 from featloom.sources.tables import first_rows
-from featloom.workspace import discard, materialise, settle
+from featloom.workspace import discard, materialise, settle, tables_written
 
 KEY, LOAN, PREVIOUS, LABEL = spec.KEY, spec.LOAN, spec.PREVIOUS, spec.LABEL
 IDS = (KEY, LOAN, PREVIOUS)
@@ -180,6 +180,20 @@ def card_balance(card: DataFrame, left_out: list[DataFrame] | None = None) -> Da
     return rollup(df, rollup_everything(df, "CARD_", "CARD_COUNT", left_out=left_out))
 
 
+def settled(rollup_of: Callable[..., DataFrame], *tables: DataFrame, left_out: list[DataFrame] | None = None) -> DataFrame:
+    """The rollup written, without the tables it was made from; what it leaves out is written as well.
+
+    Rollups that are joined unwritten run in one stage, whose tasks hold the memory of all their aggregates and sorts at the
+    same time, over the detail rows and shuffles of all tables.
+    """
+    before = len(left_out or ())
+    with tables_written() as used:
+        rolled = rollup_of(*tables) if left_out is None else rollup_of(*tables, left_out)
+    if left_out is not None:
+        left_out[before:] = [materialise(shares, "shares") for shares in left_out[before:]]
+    return settle(rolled, "rollup", *used)
+
+
 def canonical_features(tables: dict[str, DataFrame], left_out: list[DataFrame] | None = None) -> DataFrame:
     """Wide table, one row per applicant; tables are keyed by their file names.
 
@@ -189,11 +203,11 @@ def canonical_features(tables: dict[str, DataFrame], left_out: list[DataFrame] |
     return star_join(
         application(tables["application_train"], tables["application_test"]),
         [
-            bureau(tables["bureau"], tables["bureau_balance"], left_out),
-            previous_application(tables["previous_application"], left_out),
-            pos_cash(tables["POS_CASH_balance"], left_out),
-            instalments(tables["installments_payments"], left_out),
-            card_balance(tables["credit_card_balance"], left_out),
+            settled(bureau, tables["bureau"], tables["bureau_balance"], left_out=left_out),
+            settled(previous_application, tables["previous_application"], left_out=left_out),
+            settled(pos_cash, tables["POS_CASH_balance"], left_out=left_out),
+            settled(instalments, tables["installments_payments"], left_out=left_out),
+            settled(card_balance, tables["credit_card_balance"], left_out=left_out),
         ],
         KEY,
     )
@@ -300,11 +314,11 @@ def second_features(tables: dict[str, DataFrame], rows: int | None = None, left_
     return star_join(
         second_application(t["application_train"], t["application_test"]),
         [
-            second_bureau(t["bureau"], t["bureau_balance"], left_out),
-            second_previous(t["previous_application"], left_out),
-            second_pos_cash(t["POS_CASH_balance"], left_out),
-            second_instalments(t["installments_payments"], left_out),
-            second_card_balance(t["credit_card_balance"]),
+            settled(second_bureau, t["bureau"], t["bureau_balance"], left_out=left_out),
+            settled(second_previous, t["previous_application"], left_out=left_out),
+            settled(second_pos_cash, t["POS_CASH_balance"], left_out=left_out),
+            settled(second_instalments, t["installments_payments"], left_out=left_out),
+            settled(second_card_balance, t["credit_card_balance"]),
         ],
         KEY,
     )

@@ -7,6 +7,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
+from featloom.operators.rollup import category_shares
 from featloom.plans import credit
 from featloom.plans.credit_roles import credit_tables
 from featloom.sources.tables import table
@@ -49,6 +50,31 @@ def test_only_written_tables_are_discarded(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/own").count() == 3
 
 
+def test_a_settled_rollup_keeps_what_it_left_out(spark):
+    """The detail rows go with the rollup, so the long shares made from them are written first."""
+    loans = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "SK_ID_CURR int, goods string")
+
+    def rolled(df, left_out):
+        detail = materialise(df, "detail")
+        left_out.append(category_shares(detail, "SK_ID_CURR", ["goods"]))
+        return detail.groupBy("SK_ID_CURR").agg(F.count("*").alias("n"))
+
+    left_out = [spark.range(1)]
+    out = credit.settled(rolled, loans, left_out=left_out)
+    assert sorted(map(tuple, out.collect())) == [(1, 2), (2, 1)] and len(left_out) == 2
+    assert sorted((r["SK_ID_CURR"], r["value"], r["share"]) for r in left_out[1].collect()) == [(1, "a", 0.5), (1, "b", 0.5), (2, "a", 1.0)]
+
+
+@pytest.mark.parametrize("features", [credit.second_features, credit.canonical_features])
+def test_feature_sets_settle_their_rollups(spark, features):
+    top = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(top))
+    wide = features(credit_tables(spark, "/root/testdata/sf0.001"))
+    left = sorted(name.split("-")[0] for name in set(os.listdir(top)) - before)
+    assert left.count("rollup") == 5 and not {"detail", "bureau", "parts"} & set(left)
+    assert wide.where("SK_ID_CURR IS NOT NULL").count() > 0
+
+
 def test_the_summary_set_keeps_no_detail_rows(spark):
     """The rollups are written one after another; neither their detail rows nor the joined wide rows stay on disk."""
     top = shared_dir(spark).removeprefix("file:")
